@@ -41,15 +41,19 @@ def file_sizes(spark: SparkSession, path: str, suffix: str = "parquet") -> DataF
     return listing.option("recursiveFileLookup", "true").load(path).select("path", "length")
 
 
-def compact(spark: SparkSession, source: str, target: str, target_mb: int = 256) -> DataFrame:
+def compact(
+    spark: SparkSession, source: str, target: str, target_mb: int = 256, rows: DataFrame | None = None
+) -> DataFrame:
     """Copy a table of many small files into few files of about ``target_mb`` in a new folder.
 
     Same rows; the source stays as it was, because readers may hold it and because a streaming
-    sink's folder lists its own files. The caller switches to the new folder.
+    sink's folder lists its own files. The caller switches to the new folder. ``rows`` is the
+    source already read, where its schema needs care.
     """
     total = file_sizes(spark, source).agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
     files = max(1, math.ceil(total / (target_mb * 1024 * 1024)))
-    rows = spark.read.option("mergeSchema", "true").parquet(source)
+    if rows is None:
+        rows = spark.read.option("mergeSchema", "true").parquet(source)
     # No exchange: a task reads several neighbouring small files and writes one.
     rows.coalesce(files).write.parquet(target)
     return spark.read.schema(rows.schema).parquet(target)

@@ -120,11 +120,15 @@ def product_lookup(
     return described.join(keys, "product_key", "left")
 
 
+def _with_margins(joined: DataFrame) -> DataFrame:
+    margins = margin_measures("sales_amount", "quantity", "unit_price", "product_cost")
+    line_id = dashed_key("order_number", "product_key")
+    return joined.withColumns(margins | {"sales_line_id": line_id})
+
+
 def price_sales(sales: DataFrame, products: DataFrame) -> DataFrame:
     """Sales lines with their product and the margins; ``products`` is a ``product_lookup``."""
-    margins = margin_measures("sales_amount", "quantity", "unit_price", "product_cost")
-    priced = sales.join(products, "product_key", "left").withColumns(margins)
-    return priced.withColumn("sales_line_id", dashed_key("order_number", "product_key"))
+    return _with_margins(sales.join(products, "product_key", "left"))
 
 
 # Order of the enriched columns; surrogate keys follow when the lookups carry them.
@@ -157,7 +161,10 @@ def enrich_sales(sales: DataFrame, customers: DataFrame, products: DataFrame) ->
         F.col("country").alias("customer_country"),
         *sk,
     )
-    priced = price_sales(sales, products)
-    joined = priced.join(buyer, F.col("customer_id") == F.col("_buyer"), "left")
     sk += [c for c in ("product_sk",) if c in products.columns]
-    return joined.withColumn("customer_id", F.col("_buyer")).select(*ENRICHED_COLUMNS, *sk)
+    # Margins last: what can be computed after the joins need not travel through them.
+    joined = sales.join(products, "product_key", "left").join(
+        buyer, F.col("customer_id") == F.col("_buyer"), "left"
+    )
+    enriched = _with_margins(joined.withColumn("customer_id", F.col("_buyer")))
+    return enriched.select(*ENRICHED_COLUMNS, *sk)

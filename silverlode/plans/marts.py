@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from silverlode.functions.calendar import as_of_date, days_between
+from silverlode.functions.calendar import as_of_date, calendar_attributes, days_between
 from silverlode.functions.measures import first_match, plain_average, ratio
 from silverlode.operators.ordering import ONE_TASK_ROWS, Ordering, rank_globally
 
@@ -27,10 +27,9 @@ def kpi_monthly(fact: DataFrame, calendar: bool = False) -> DataFrame:
         fact.filter(F.col("order_date").isNotNull())
         .groupBy("order_year_month")
         .agg(
-            F.min("order_year").alias("report_year"),
-            F.min("order_month_number").alias("report_month_number"),
-            F.min("order_month_name").alias("report_month_name"),
-            F.min("order_year_quarter").alias("report_quarter"),
+            # A date fits the hash aggregate's buffer; the month and quarter texts, as strings, would
+            # turn it into a sort. They follow from the date below.
+            F.min("order_month_start").alias("_month"),
             F.countDistinct("order_number").alias("order_count"),
             F.countDistinct("customer_sk").alias("active_customers"),
             F.sum("quantity").alias("units_sold"),
@@ -44,6 +43,15 @@ def kpi_monthly(fact: DataFrame, calendar: bool = False) -> DataFrame:
         )
     )
     # One row per month from here on: a single ordered partition is a few hundred rows.
+    named = calendar_attributes("_month", "m")
+    monthly = monthly.withColumns(
+        {
+            "report_year": named["m_year"],
+            "report_month_number": named["m_month_number"],
+            "report_month_name": named["m_month_name"],
+            "report_quarter": named["m_year_quarter"],
+        }
+    )
     if calendar:
         months = F.col("report_year") * 12 + F.col("report_month_number")
         along = W.orderBy(months)
@@ -164,8 +172,11 @@ def category_rollup(fact: DataFrame) -> DataFrame:
         "sales_amount",
         "gross_margin",
     )
+    # The name apart: a maximum of texts would turn the big aggregate into a sort. Distinct
+    # combinations are a handful, combined on the map side.
+    names = named.select(*CATEGORY_GRAIN, "category_name").distinct()
+    names = names.groupBy(*CATEGORY_GRAIN).agg(F.max("category_name").alias("category_name"))
     rolled = named.groupBy(*CATEGORY_GRAIN).agg(
-        F.max("category_name").alias("category_name"),
         F.countDistinct("order_number").alias("order_count"),
         F.countDistinct("customer_sk").alias("buyer_count"),
         F.countDistinct("product_key").alias("product_count"),
@@ -178,7 +189,7 @@ def category_rollup(fact: DataFrame) -> DataFrame:
     revenue = fact.agg(F.sum("sales_amount")).scalar()
     margin = fact.agg(F.sum("gross_margin")).scalar()
     has_margin = F.col("gross_margin") != 0
-    return rolled.select(
+    return rolled.join(names, list(CATEGORY_GRAIN)).select(
         "category_id",
         "category_name",
         "subcategory_name",

@@ -103,21 +103,25 @@ def stg_products(raw: DataFrame) -> DataFrame:
 
 
 def typed_sales(raw: DataFrame) -> DataFrame:
-    """Sales lines with safe types, before any row is rejected."""
-    return _typed(
-        raw,
-        {
-            "order_number": text.upper_code("sls_ord_num"),
-            "product_key": text.upper_code("sls_prd_key"),
-            "customer_id": typed.to_int("sls_cust_id"),
-            "order_date": typed.compact_date("sls_order_dt"),
-            "ship_date": typed.compact_date("sls_ship_dt"),
-            "due_date": typed.compact_date("sls_due_dt"),
-            "sales_amount": typed.to_money("sls_sales"),
-            "quantity": typed.to_int("sls_quantity"),
-            "unit_price": typed.to_money("sls_price"),
-        },
-    )
+    """Sales lines with safe types, before any row is rejected.
+
+    The rules below look at every typed column several times, and Spark writes a filter's columns out
+    as the expressions behind them: each date would be parsed again for every mention. ``inline`` of a
+    one-row array computes each value once, and filters stay above it.
+    """
+    values = {
+        "order_number": text.upper_code("sls_ord_num"),
+        "product_key": text.upper_code("sls_prd_key"),
+        "customer_id": typed.to_int("sls_cust_id"),
+        "order_date": typed.compact_date("sls_order_dt"),
+        "ship_date": typed.compact_date("sls_ship_dt"),
+        "due_date": typed.compact_date("sls_due_dt"),
+        "sales_amount": typed.to_money("sls_sales"),
+        "quantity": typed.to_int("sls_quantity"),
+        "unit_price": typed.to_money("sls_price"),
+    }
+    once = F.inline(F.array(F.struct(*[c.alias(n) for n, c in values.items()])))
+    return raw.select(once, *[F.col(old).alias(new) for old, new in LINEAGE.items()])
 
 
 def sales_rules() -> dict[str, Column]:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -10,52 +10,82 @@ from silverlode.config import Settings
 from silverlode.operators.layout import materialise
 from silverlode.operators.quality import run_checks
 from silverlode.plans import checks, conform, dimensions, fact, marts, staging
+from silverlode.session import stash
 from silverlode.sources.bronze import read_bronze
 
 
-@dataclass(frozen=True)
-class Extracts:
-    """One frame per extract, either raw (with lineage columns) or cleaned."""
+class BronzeExtracts:
+    """The six raw extracts with their lineage columns, each opened when first asked for."""
 
-    customers: DataFrame
-    products: DataFrame
-    sales: DataFrame
-    attributes: DataFrame
-    geography: DataFrame
-    categories: DataFrame
+    def __init__(self, spark: SparkSession, settings: Settings):
+        self._open = lambda table: read_bronze(spark, settings.layer("bronze"), table)
 
+    @cached_property
+    def customers(self) -> DataFrame:
+        return self._open("crm_cust_info")
 
-def raw_from_bronze(spark: SparkSession, settings: Settings) -> Extracts:
-    bronze = settings.layer("bronze")
-    return Extracts(
-        customers=read_bronze(spark, bronze, "crm_cust_info"),
-        products=read_bronze(spark, bronze, "crm_prd_info"),
-        sales=read_bronze(spark, bronze, "crm_sales_details"),
-        attributes=read_bronze(spark, bronze, "erp_cust_az12"),
-        geography=read_bronze(spark, bronze, "erp_loc_a101"),
-        categories=read_bronze(spark, bronze, "erp_px_cat_g1v2"),
-    )
+    @cached_property
+    def products(self) -> DataFrame:
+        return self._open("crm_prd_info")
 
+    @cached_property
+    def sales(self) -> DataFrame:
+        return self._open("crm_sales_details")
 
-def silver(raw: Extracts) -> Extracts:
-    """All cleaned frames, lazy: a consumer pays for the columns it reads."""
-    return Extracts(
-        customers=staging.stg_customers(raw.customers),
-        products=staging.stg_products(raw.products),
-        sales=staging.stg_sales(raw.sales),
-        attributes=staging.stg_attributes(raw.attributes),
-        geography=staging.stg_geography(raw.geography),
-        categories=staging.stg_categories(raw.categories),
-    )
+    @cached_property
+    def attributes(self) -> DataFrame:
+        return self._open("erp_cust_az12")
+
+    @cached_property
+    def geography(self) -> DataFrame:
+        return self._open("erp_loc_a101")
+
+    @cached_property
+    def categories(self) -> DataFrame:
+        return self._open("erp_px_cat_g1v2")
+
+
+class Silver:
+    """The cleaned extracts, lazy: a consumer pays for the frames and columns it reads.
+
+    ``raw`` is anything with the six attributes of ``BronzeExtracts``.
+    """
+
+    def __init__(self, raw):
+        self.raw = raw
 
+    @cached_property
+    def customers(self) -> DataFrame:
+        return staging.stg_customers(self.raw.customers)
 
-def conformed_customers(clean: Extracts, settings: Settings) -> DataFrame:
+    @cached_property
+    def products(self) -> DataFrame:
+        return staging.stg_products(self.raw.products)
+
+    @cached_property
+    def sales(self) -> DataFrame:
+        return staging.stg_sales(self.raw.sales)
+
+    @cached_property
+    def attributes(self) -> DataFrame:
+        return staging.stg_attributes(self.raw.attributes)
+
+    @cached_property
+    def geography(self) -> DataFrame:
+        return staging.stg_geography(self.raw.geography)
+
+    @cached_property
+    def categories(self) -> DataFrame:
+        return staging.stg_categories(self.raw.categories)
+
+
+def conformed_customers(clean: Silver, settings: Settings) -> DataFrame:
     return conform.conform_customers(
         clean.customers, clean.attributes, clean.geography, settings.as_of
     )
 
 
-def keyed_enriched(clean: Extracts, customers: DataFrame, dim_products: DataFrame) -> DataFrame:
+def keyed_enriched(clean: Silver, customers: DataFrame, dim_products: DataFrame) -> DataFrame:
     """Enriched lines that carry both surrogate keys: two joins of the sales lines in all.
 
     ``customers`` has ``customer_sk``: the stored dimension or the conformed frame with its key.
@@ -66,21 +96,21 @@ def keyed_enriched(clean: Extracts, customers: DataFrame, dim_products: DataFram
     return conform.enrich_sales(clean.sales, customers, products)
 
 
-def customer_dimension(clean: Extracts, customers: DataFrame, settings: Settings) -> DataFrame:
+def customer_dimension(clean: Silver, customers: DataFrame, settings: Settings) -> DataFrame:
     products = conform.product_lookup(conform.current_products(clean.products), clean.categories)
     priced = conform.price_sales(clean.sales, products)
     return dimensions.dim_customers(customers, priced, settings.as_of)
 
 
-def fact_frame(raw: Extracts, settings: Settings) -> DataFrame:
+def fact_frame(raw, settings: Settings) -> DataFrame:
     """The full fact as one lazy frame."""
-    clean = silver(raw)
+    clean = Silver(raw)
     items = dimensions.dim_products(clean.products, clean.categories)
     people = conform.with_customer_sk(conformed_customers(clean, settings))
     return fact.fact_rows(keyed_enriched(clean, people, items))
 
 
-def build(spark: SparkSession, raw: Extracts, settings: Settings, full: bool = False) -> dict[str, DataFrame]:
+def build(spark: SparkSession, raw, settings: Settings, full: bool = False) -> dict[str, DataFrame]:
     """Build every gold table and mart and run the checks; returns the stored tables.
 
     Dimensions and marts are rebuilt, the fact is refreshed over its lookback window, or rebuilt
@@ -88,7 +118,7 @@ def build(spark: SparkSession, raw: Extracts, settings: Settings, full: bool = F
     lines are read from raw by each consumer with only the columns it needs.
     """
     gold = settings.layer("gold")
-    clean = silver(raw)
+    clean = Silver(raw)
     stored: dict[str, DataFrame] = {}
 
     def keep(name: str, df: DataFrame, cluster_by: tuple[str, ...] = ()) -> DataFrame:
@@ -124,10 +154,15 @@ def build(spark: SparkSession, raw: Extracts, settings: Settings, full: bool = F
 
 
 def check(
-    raw: Extracts, stored: dict[str, DataFrame], settings: Settings, stop_on_error: bool = True
+    raw, stored: dict[str, DataFrame], settings: Settings, stop_on_error: bool = True
 ) -> list[dict]:
-    """All declared checks; offending rows land in the ``checks`` layer."""
-    clean = silver(raw)
+    """All declared checks; offending rows land in the ``checks`` layer.
+
+    Several checks read the cleaned sales, so their columns are stored once instead of being parsed
+    from raw text each time.
+    """
+    clean = Silver(raw)
+    clean.sales = stash(clean.sales.drop(*staging.BRONZE_COLUMNS), "checked-sales")
     tables = checks.source_checks(raw) | checks.silver_checks(clean, raw, settings)
     tables |= checks.gold_checks(stored, clean) | checks.mart_checks(stored)
     return run_checks(tables, settings.layer("checks"), stop_on_error)

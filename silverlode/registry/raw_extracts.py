@@ -7,8 +7,10 @@ Table names are in braces: Spark binds them to DataFrames, the oracle to its reg
 from __future__ import annotations
 
 import re
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 _COPIES = {
     "spark": "lateral view explode(array({values})) t as v",
@@ -98,12 +100,54 @@ def _with_copies(sql: str, dialect: str) -> str:
     )
 
 
+_SCHEMAS: dict[str, StructType] = {}
+
+
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A given table; its schema is looked up once per process."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
+
+
 def raw_frame(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     sql = _with_copies(_RAW[name], "spark")
-    tables = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in set(re.findall(r"\{(\w+)\}", sql))}
+    tables = {t: read_table(spark, sf_dir, t) for t in set(re.findall(r"\{(\w+)\}", sql))}
     return spark.sql(sql, **tables)
 
 
 def raw_oracle(name: str) -> str:
     sql = _with_copies(_RAW[name], "duckdb")
     return re.sub(r"\{(\w+)\}", r"\1", sql).strip()
+
+
+class DerivedExtracts:
+    """The six extracts under the names the warehouse uses."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self._frame = lambda name: raw_frame(spark, sf_dir, name)
+
+    @cached_property
+    def customers(self) -> DataFrame:
+        return self._frame("raw_customers")
+
+    @cached_property
+    def products(self) -> DataFrame:
+        return self._frame("raw_products")
+
+    @cached_property
+    def sales(self) -> DataFrame:
+        return self._frame("raw_sales")
+
+    @cached_property
+    def attributes(self) -> DataFrame:
+        return self._frame("raw_attr")
+
+    @cached_property
+    def geography(self) -> DataFrame:
+        return self._frame("raw_geo")
+
+    @cached_property
+    def categories(self) -> DataFrame:
+        return self._frame("raw_cat")

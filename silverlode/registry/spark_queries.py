@@ -13,10 +13,12 @@ from pyspark.sql import types as T
 from silverlode.config import Settings
 from silverlode.operators import dedup, layout, ordering, quality, reject, scd, versioned
 from silverlode.plans import checks, conform, dimensions, fact, marts, staging, warehouse
+from silverlode.registry.raw_extracts import DerivedExtracts as raw
 from silverlode.registry.raw_extracts import raw_frame
+from silverlode.registry.raw_extracts import read_table as table
 from silverlode.session import scratch_path
 from silverlode.sources import bronze, headers
-from silverlode.sources.specs import RESCUED, SourceSpec, sources
+from silverlode.sources.specs import RESCUED, sources
 from silverlode.streaming.ingest import ingest_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -51,23 +53,8 @@ def query(build: Query) -> Query:
     return run
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def raw(spark: SparkSession, sf_dir: str) -> warehouse.Extracts:
-    return warehouse.Extracts(
-        customers=raw_frame(spark, sf_dir, "raw_customers"),
-        products=raw_frame(spark, sf_dir, "raw_products"),
-        sales=raw_frame(spark, sf_dir, "raw_sales"),
-        attributes=raw_frame(spark, sf_dir, "raw_attr"),
-        geography=raw_frame(spark, sf_dir, "raw_geo"),
-        categories=raw_frame(spark, sf_dir, "raw_cat"),
-    )
-
-
-def clean(spark: SparkSession, sf_dir: str) -> warehouse.Extracts:
-    return warehouse.silver(raw(spark, sf_dir))
+def clean(spark: SparkSession, sf_dir: str) -> warehouse.Silver:
+    return warehouse.Silver(raw(spark, sf_dir))
 
 
 def fact_frame(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -232,6 +232,21 @@ def ingest_all(
     return loads
 
 
+def compact_bronze(spark: SparkSession, bronze: str, target: str) -> list[str]:
+    """Copy every bronze table that exists into ``target`` with few files per batch folder.
+
+    Batches keep their folders, so loads may go on in the new place; the caller points
+    ``bronze`` there. Returns the tables copied.
+    """
+    done = []
+    for spec in sources():
+        if exists(spark, f"{bronze.rstrip('/')}/{spec.table}"):
+            rows = read_bronze(spark, bronze, spec.table).hint("rebalance", BATCH)
+            write_bronze(rows, target, spec.table, "overwrite")
+            done.append(spec.table)
+    return done
+
+
 # --- audit -----------------------------------------------------------------------------------------
 
 _AUDIT_SCHEMA = (
