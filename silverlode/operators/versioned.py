@@ -102,13 +102,23 @@ class VersionedTable:
         target = self.read(version)
         if target is None:
             return self.overwrite(updates, sort)
-        held = target.join(updates.select(self.key), self.key, "left_semi").select(self.partition)
-        parts = held.union(updates.select(self.partition)).distinct()
+        parts = self._holding(target, updates).union(updates.select(self.partition)).distinct()
         touched = {self._folder(row[0]) for row in parts.collect()}
         return self._replace(version, touched, sort, updates, lambda old: old.join(
             updates.select(self.key), self.key, "left_anti"
         ))
 
+    def _holding(self, target: DataFrame, updates: DataFrame) -> DataFrame:
+        """Partition values in which the target holds an updated key.
+
+        Reads one column of the target. Keys outside the updates' key range cannot match, and as a
+        literal range the test reaches the Parquet statistics: row groups without recent keys are
+        not read.
+        """
+        low, high = updates.agg(F.min(self.key), F.max(self.key)).first()
+        near = target.filter(F.col(self.key).between(low, high)) if low is not None else target.limit(0)
+        return near.join(updates.select(self.key), self.key, "left_semi").select(self.partition)
+
     def replace_window(
         self, rows: DataFrame, in_window: Column, window_parts: Column, sort: Sequence[str] = ()
     ) -> int:

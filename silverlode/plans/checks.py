@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -56,18 +57,17 @@ def source_checks(raw) -> Tables:
     }
 
 
-def source_freshness(raw, settings: Settings, now=None) -> dict[str, DataFrame]:
-    """Age of every extract's newest load."""
+def source_freshness(raw, settings: Settings, now=None) -> dict[str, DataFrame | None]:
+    """Age of every extract's newest load; None for an extract that was never loaded."""
     hours = settings.freshness_warn_hours, settings.freshness_error_hours
-    frames = {
-        "crm_cust_info": raw.customers,
-        "crm_prd_info": raw.products,
-        "crm_sales_details": raw.sales,
-        "erp_cust_az12": raw.attributes,
-        "erp_loc_a101": raw.geography,
-        "erp_px_cat_g1v2": raw.categories,
-    }
-    return {name: q.freshness(df, "_ingested_at", now, *hours) for name, df in frames.items()}
+    extracts = ("customers", "products", "sales", "attributes", "geography", "categories")
+    found: dict[str, DataFrame | None] = {}
+    for name in extracts:
+        try:
+            found[name] = q.freshness(getattr(raw, name), "_ingested_at", now, *hours)
+        except AnalysisException:  # no such folder
+            found[name] = None
+    return found
 
 
 def silver_checks(clean, raw, settings: Settings) -> Tables:

@@ -210,6 +210,12 @@ def category_rollup(fact: DataFrame) -> DataFrame:
     )
 
 
+def category_report(rollup: DataFrame) -> DataFrame:
+    """Ad-hoc view of the category mart: names by whole revenue, largest first."""
+    report = rollup.select("category_name", F.round("gross_revenue").alias("revenue"))
+    return report.orderBy(F.desc_nulls_last("revenue"), "category_name")
+
+
 def _segment():
     """Fixed rules, first match wins, over the three scores."""
     r, f, m = F.col("recency_score"), F.col("frequency_score"), F.col("monetary_score")

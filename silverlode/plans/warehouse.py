@@ -14,6 +14,17 @@ from silverlode.session import stash
 from silverlode.sources.bronze import read_bronze
 
 
+GOLD_TABLES = (
+    "dim_dates",
+    "dim_products",
+    "dim_customers",
+    "agg_kpi__monthly_performance",
+    "agg_products__performance",
+    "agg_products__category_rollup",
+    "agg_customers__rfm_segmentation",
+)
+
+
 class BronzeExtracts:
     """The six raw extracts with their lineage columns, each opened when first asked for."""
 
@@ -153,6 +164,14 @@ def build(spark: SparkSession, raw, settings: Settings, full: bool = False) -> d
     return stored
 
 
+def open_gold(spark: SparkSession, settings: Settings) -> dict[str, DataFrame]:
+    """The stored tables of the last ``build``."""
+    gold = settings.layer("gold")
+    stored = {name: spark.read.parquet(f"{gold}/{name}") for name in GOLD_TABLES}
+    stored["fct_sales"] = fact.fact_table(spark, f"{gold}/fct_sales").read()
+    return stored
+
+
 def check(
     raw, stored: dict[str, DataFrame], settings: Settings, stop_on_error: bool = True
 ) -> list[dict]:

@@ -298,6 +298,11 @@ def category_rollup(spark, sf_dir):
     return marts.category_rollup(fact_frame(spark, sf_dir))
 
 
+@query
+def category_report(spark, sf_dir):
+    return marts.category_report(marts.category_rollup(fact_frame(spark, sf_dir)))
+
+
 @query
 def rfm_segments(spark, sf_dir):
     return marts.rfm_segments(fact_frame(spark, sf_dir), customers_frame(spark, sf_dir), AS_OF)
@@ -444,6 +449,14 @@ def dq_orphans(spark, sf_dir):
     return quality.orphan_keys(orders, rich, "c_custkey").select("o_orderkey", "c_custkey")
 
 
+@query
+def dq_orphan_products(spark, sf_dir):
+    """Products sold under a surrogate key that a dimension without road products lacks."""
+    items = products_frame(spark, sf_dir).filter(F.col("product_line") != "Road")
+    sold = fact_frame(spark, sf_dir).select("product_key", "product_sk")
+    return quality.orphan_keys(sold, items, "product_sk").select("product_key").distinct()
+
+
 @query
 def dq_scd2(spark, sf_dir):
     """Window integrity of the event history, where several versions of a user start on one day."""
@@ -559,6 +572,23 @@ def ingest_header_gate(spark, sf_dir):
     return good.unionByName(bad)
 
 
+@query
+def ingest_quarantine(spark, sf_dir):
+    """What a run over one system records when one extract's header lacks a column and the others
+    have no delivery: every reason per table, and the rows of nothing else."""
+    landing, lake = _folders(spark)
+    first, second = _parts(_feed(spark, sf_dir))
+    _land(first, landing, "a")
+    _land(second.drop("cst_key", "cst_gndr"), landing, "b")
+    bronze.ingest_all(spark, landing, lake, "crm", batch_id="b1", loaded_at=LOADED_AT)
+    log = bronze.read_log(spark, lake, "ingest_quarantine")
+    refused = log.filter(F.col("_source_table") == CUSTOMER_SPEC.table).select("_source_table", "_reason").distinct()
+    kept = bronze.read_bronze(spark, lake, CUSTOMER_SPEC.table).groupBy("_source_system").agg(F.count(F.lit(1)).alias("n"))
+    return refused.select(F.col("_source_table").alias("what"), F.col("_reason").alias("value")).unionByName(
+        kept.select(F.col("_source_system").alias("what"), F.col("n").cast("string").alias("value"))
+    )
+
+
 @query
 def ingest_stream_once(spark, sf_dir):
     """Two runs over one landing folder, a delivery before each, and a third run with nothing new."""

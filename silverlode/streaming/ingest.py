@@ -7,12 +7,14 @@ its few files through the same code as a batch load.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from silverlode.sources.bronze import Load, load_files, write_audit
+from silverlode.sources.bronze import Load, load_files, quarantine, write_audit
 from silverlode.sources.headers import FILE_SCHEMA
-from silverlode.sources.specs import SourceSpec
+from silverlode.sources.specs import SourceSpec, sources
 
 _BINARY_SCHEMA = T.StructType([*FILE_SCHEMA, T.StructField("content", T.BinaryType())])
 
@@ -57,3 +59,30 @@ def ingest_stream(
     )
     query.awaitTermination()
     return loads
+
+
+def ingest_streams(
+    spark: SparkSession,
+    landing: str,
+    bronze: str,
+    checkpoints: str,
+    system: str | None = None,
+    files_per_trigger: int = 8,
+) -> list[Load]:
+    """All extracts, or one system's, each with its own checkpoint, side by side.
+
+    An extract that fails is quarantined; its checkpoint still points before the failed files, so
+    the next run takes them up again.
+    """
+
+    def one(spec: SourceSpec) -> list[Load]:
+        try:
+            return ingest_stream(spark, spec, landing, bronze, checkpoints, files_per_trigger)
+        except Exception as problem:  # any failure is this extract's alone
+            skipped = (spec.pattern.rsplit("/", 1)[-1], str(problem)[:2000])
+            quarantine(spark, bronze, spec.table, [skipped])
+            return []
+
+    specs = sources(system)
+    with ThreadPoolExecutor(max_workers=len(specs)) as pool:
+        return [load for loads in pool.map(one, specs) for load in loads]

@@ -132,3 +132,9 @@ def test_partition_filter_prunes_folders(spark, stored):
     stored.overwrite(frame(spark, ("a", "2014-01-05", 1), ("b", "2014-02-05", 1)))
     plan = stored.read().filter("order_year_month = '2014-02'")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(order_year_month" in plan
+
+
+def test_key_range_reaches_the_scan(spark, stored):
+    stored.overwrite(frame(spark, ("a", "2014-01-05", 1), ("b", "2014-02-05", 1)))
+    text = stored._holding(stored.read(), frame(spark, ("b", "2014-03-05", 2)))._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(sales_line_id,b)" in text and "ReadSchema: struct<sales_line_id:string>" in text
