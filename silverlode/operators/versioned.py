@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -103,7 +104,7 @@ class VersionedTable:
         if target is None:
             return self.overwrite(updates, sort)
         parts = self._holding(target, updates).union(updates.select(self.partition)).distinct()
-        touched = {self._folder(row[0]) for row in parts.collect()}
+        touched = {self._name(row[0]) for row in parts.collect()}
         return self._replace(version, touched, sort, updates, lambda old: old.join(
             updates.select(self.key), self.key, "left_anti"
         ))
@@ -133,21 +134,23 @@ class VersionedTable:
             return self.overwrite(rows, sort)
         parts = target.select(self.partition).filter(window_parts).distinct()
         parts = parts.union(rows.select(self.partition).distinct())
-        touched = {self._folder(row[0]) for row in parts.collect()}
+        touched = {self._name(row[0]) for row in parts.collect()}
         return self._replace(version, touched, sort, rows, lambda old: old.filter(
             ~F.coalesce(in_window, F.lit(False))
         ))
 
     def _replace(self, version, touched, sort, new_rows, keep):
         holders = self._holders(version)
-        old = self._read_parts({p: n for p, n in holders.items() if p in touched})
+        # Spark escapes special characters in folder names.
+        rewritten = {p for p in holders if unquote(p) in touched}
+        old = self._read_parts({p: n for p, n in holders.items() if p in rewritten})
         merged = new_rows if old is None else keep(sync_columns(old, new_rows)).unionByName(new_rows)
         number = self._next()
         self._write_rows(merged, number, sort)
-        kept = {p: n for p, n in holders.items() if p not in touched}
+        kept = {p: n for p, n in holders.items() if p not in rewritten}
         return self._publish(number, kept | {p: number for p in self._written(number)})
 
-    def _folder(self, value: str | None) -> str:
+    def _name(self, value: str | None) -> str:
         return f"{self.partition}={_NULL_FOLDER if value is None else value}"
 
     def _next(self) -> int:

@@ -74,7 +74,7 @@ def refresh_fact(table: VersionedTable, rows: DataFrame, days: int, full: bool =
     are upserted: late and restated orders in that window are corrected, older ones and deletions
     wait for a full refresh.
     """
-    if full:
+    if full or table.version() is None:
         return table.overwrite(rows, sort=FACT_SORT)
     return table.upsert(lookback(rows, table.read(), "order_date", days), sort=FACT_SORT)
 

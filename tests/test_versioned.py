@@ -138,3 +138,11 @@ def test_key_range_reaches_the_scan(spark, stored):
     stored.overwrite(frame(spark, ("a", "2014-01-05", 1), ("b", "2014-02-05", 1)))
     text = stored._holding(stored.read(), frame(spark, ("b", "2014-03-05", 2)))._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(sales_line_id,b)" in text and "ReadSchema: struct<sales_line_id:string>" in text
+
+
+def test_partition_names_with_special_characters(spark):
+    table = versioned.VersionedTable(spark, scratch_path(spark, "odd"), "k", "p")
+    rows = spark.createDataFrame([("a", "x:1/2 %", 1), ("b", "y=ü", 1)], "k string, p string, v int")
+    table.overwrite(rows)
+    table.upsert(rows.filter("k = 'a'").withColumn("v", F.lit(2)))
+    assert sorted(map(tuple, table.read().select("k", "p", "v").collect())) == [("a", "x:1/2 %", 2), ("b", "y=ü", 1)]
