@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -96,37 +98,55 @@ def conformed_customers(clean: Silver, settings: Settings) -> DataFrame:
     )
 
 
-def keyed_enriched(clean: Silver, customers: DataFrame, dim_products: DataFrame) -> DataFrame:
-    """Enriched lines that carry both surrogate keys: two joins of the sales lines in all.
+def stored_lookup(clean: Silver, dim_products: DataFrame) -> DataFrame:
+    """The product side of the sales joins, written once.
 
-    ``customers`` has ``customer_sk``: the stored dimension or the conformed frame with its key.
+    Spark estimates the size of joined frames as the product of their inputs and would never
+    broadcast this one; from files it knows the real size. A small product table is then
+    broadcast and the sales lines stay where they are, a large one is joined by sort and merge.
     """
-    products = conform.product_lookup(
-        conform.current_products(clean.products), clean.categories, dim_products
-    )
-    return conform.enrich_sales(clean.sales, customers, products)
+    current = conform.current_products(clean.products)
+    return stash(conform.product_lookup(current, clean.categories, dim_products), "product-lookup")
 
 
-def customer_dimension(clean: Silver, customers: DataFrame, settings: Settings) -> DataFrame:
-    products = conform.product_lookup(conform.current_products(clean.products), clean.categories)
-    priced = conform.price_sales(clean.sales, products)
-    return dimensions.dim_customers(customers, priced, settings.as_of)
+@dataclass(frozen=True)
+class Sides:
+    """What the sales lines are joined to, stored: products with history, customers, lookup."""
 
+    items: DataFrame
+    people: DataFrame
+    lookup: DataFrame
 
-def fact_frame(raw, settings: Settings) -> DataFrame:
-    """The full fact as one lazy frame."""
-    clean = Silver(raw)
-    items = dimensions.dim_products(clean.products, clean.categories)
-    people = conform.with_customer_sk(conformed_customers(clean, settings))
-    return fact.fact_rows(keyed_enriched(clean, people, items))
+
+def store_sides(clean: Silver, settings: Settings) -> Sides:
+    with ThreadPoolExecutor(max_workers=1) as pool:
+        # Read by the hot-key count, the history and the lookup.
+        clean.products = stash(clean.products, "product-versions")
+        customers = conform.with_customer_sk(conformed_customers(clean, settings))
+        people = pool.submit(stash, customers, "customers")
+        items = stash(dimensions.dim_products(clean.products, clean.categories), "products")
+        return Sides(items, people.result(), stored_lookup(clean, items))
+
+
+def fact_lines(clean: Silver, customers: DataFrame, lookup: DataFrame) -> DataFrame:
+    """All fact rows. ``customers`` has ``customer_sk``: the dimension or the conformed frame with
+    its key. Two joins of the sales lines in all."""
+    return fact.fact_rows(conform.enrich_sales(clean.sales, customers, lookup))
+
+
+def customer_dimension(
+    clean: Silver, customers: DataFrame, lookup: DataFrame, settings: Settings
+) -> DataFrame:
+    priced = conform.price_sales(clean.sales, lookup)
+    return dimensions.dim_customers(customers, priced, settings.as_of)
 
 
 def build(spark: SparkSession, raw, settings: Settings, full: bool = False) -> dict[str, DataFrame]:
-    """Build every gold table and mart and run the checks; returns the stored tables.
+    """Build every gold table and mart; returns the stored tables.
 
     Dimensions and marts are rebuilt, the fact is refreshed over its lookback window, or rebuilt
-    with ``full``. Small shared frames (cleaned customers and products) are stored once; the sales
-    lines are read from raw by each consumer with only the columns it needs.
+    with ``full``. The sales lines are read from raw twice, for the order history of the customers
+    and for the fact, each time with only the columns needed.
     """
     gold = settings.layer("gold")
     clean = Silver(raw)
@@ -136,6 +156,8 @@ def build(spark: SparkSession, raw, settings: Settings, full: bool = False) -> d
         stored[name] = materialise(df, "gold", name, settings.root, cluster_by)
         return stored[name]
 
+    # Read by the hot-key count, the history and the lookup.
+    clean.products = stash(clean.products, "product-versions")
     keep(
         "dim_dates",
         dimensions.dim_dates(spark, settings.calendar_start, settings.calendar_end, settings.as_of),
@@ -146,13 +168,14 @@ def build(spark: SparkSession, raw, settings: Settings, full: bool = False) -> d
         dimensions.dim_products(clean.products, clean.categories),
         ("product_key", "category_id", "is_current"),
     )
+    lookup = stored_lookup(clean, items)
     people = keep(
         "dim_customers",
-        customer_dimension(clean, conformed_customers(clean, settings), settings),
+        customer_dimension(clean, conformed_customers(clean, settings), lookup, settings),
         ("customer_key", "country"),
     )
     # The stored customer dimension has every attribute the fact takes from a customer.
-    rows = fact.fact_rows(keyed_enriched(clean, people, items))
+    rows = fact_lines(clean, people, lookup)
     table = fact.fact_table(spark, f"{gold}/fct_sales")
     fact.refresh_fact(table, rows, settings.lookback_days, full)
     sales = stored["fct_sales"] = table.read()

@@ -57,23 +57,32 @@ def clean(spark: SparkSession, sf_dir: str) -> warehouse.Silver:
     return warehouse.Silver(raw(spark, sf_dir))
 
 
-def fact_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return warehouse.fact_frame(raw(spark, sf_dir), SETTINGS)
+class Gold:
+    """Dimensions and fact of one query; the sides the sales are joined to are stored first."""
 
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.clean = clean(spark, sf_dir)
+        self.sides = warehouse.store_sides(self.clean, SETTINGS)
 
-def stored_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The fact written once, as the warehouse does, for marts that read it more than once."""
-    return stash(fact_frame(spark, sf_dir), "fact")
+    @property
+    def items(self) -> DataFrame:
+        return self.sides.items
 
+    @property
+    def people(self) -> DataFrame:
+        return warehouse.customer_dimension(self.clean, self.sides.people, self.sides.lookup, SETTINGS)
 
-def customers_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = clean(spark, sf_dir)
-    return warehouse.customer_dimension(c, warehouse.conformed_customers(c, SETTINGS), SETTINGS)
+    @property
+    def fact(self) -> DataFrame:
+        return warehouse.fact_lines(self.clean, self.sides.people, self.sides.lookup)
 
+    def stored_fact(self) -> DataFrame:
+        """Written once, as the warehouse does, for marts that read it more than once."""
+        return stash(self.fact, "fact")
 
-def products_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = clean(spark, sf_dir)
-    return dimensions.dim_products(c.products, c.categories)
+
+def fact_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return Gold(spark, sf_dir).fact
 
 
 def _without_lineage(df: DataFrame) -> DataFrame:
@@ -174,12 +183,13 @@ def dim_dates(spark, sf_dir):
 
 @query
 def dim_customers(spark, sf_dir):
-    return customers_frame(spark, sf_dir)
+    return Gold(spark, sf_dir).people
 
 
 @query
 def dim_products_scd2(spark, sf_dir):
-    return products_frame(spark, sf_dir)
+    c = clean(spark, sf_dir)
+    return dimensions.dim_products(c.products, c.categories)
 
 
 @query
@@ -208,10 +218,11 @@ def fct_sales_full(spark, sf_dir):
 @query
 def fct_sales_from_dimensions(spark, sf_dir):
     """The fact with its surrogate keys looked up in the dimensions."""
-    c = clean(spark, sf_dir)
+    gold = Gold(spark, sf_dir)
+    c = gold.clean
     products = conform.product_lookup(conform.current_products(c.products), c.categories)
     enriched = conform.enrich_sales(c.sales, warehouse.conformed_customers(c, SETTINGS), products)
-    built = fact.build_fact(enriched, customers_frame(spark, sf_dir), products_frame(spark, sf_dir))
+    built = fact.build_fact(enriched, gold.people, gold.items)
     return built.drop("bronze_ingested_at")
 
 
@@ -295,30 +306,31 @@ def kpi_monthly_calendar(spark, sf_dir):
 
 @query
 def product_abc(spark, sf_dir):
-    return marts.product_performance(fact_frame(spark, sf_dir), products_frame(spark, sf_dir))
+    gold = Gold(spark, sf_dir)
+    return marts.product_performance(gold.fact, gold.items)
 
 
 @query
 def category_rollup(spark, sf_dir):
-    return marts.category_rollup(stored_fact(spark, sf_dir))
+    return marts.category_rollup(Gold(spark, sf_dir).stored_fact())
 
 
 @query
 def category_report(spark, sf_dir):
-    return marts.category_report(marts.category_rollup(stored_fact(spark, sf_dir)))
+    return marts.category_report(marts.category_rollup(Gold(spark, sf_dir).stored_fact()))
 
 
 @query
 def rfm_segments(spark, sf_dir):
-    return marts.rfm_segments(fact_frame(spark, sf_dir), customers_frame(spark, sf_dir), AS_OF)
+    gold = Gold(spark, sf_dir)
+    return marts.rfm_segments(gold.fact, gold.people, AS_OF)
 
 
 @query
 def rfm_segments_orders(spark, sf_dir):
     """Frequency as distinct orders instead of lines, ranked without a single-task window."""
-    return marts.rfm_segments(
-        fact_frame(spark, sf_dir), customers_frame(spark, sf_dir), AS_OF, count_orders=True, one_task_rows=0
-    )
+    gold = Gold(spark, sf_dir)
+    return marts.rfm_segments(gold.fact, gold.people, AS_OF, count_orders=True, one_task_rows=0)
 
 
 # --- global order ----------------------------------------------------------------------------------
@@ -430,10 +442,8 @@ def dq_freshness(spark, sf_dir):
 
 @query
 def dq_reconcile(spark, sf_dir):
-    sales = clean(spark, sf_dir).sales
-    return quality.reconcile(
-        fact_frame(spark, sf_dir), sales, "sales_line_id", "sales_amount", "quantity"
-    )
+    gold = Gold(spark, sf_dir)
+    return quality.reconcile(gold.fact, gold.clean.sales, "sales_line_id", "sales_amount", "quantity")
 
 
 @query
@@ -457,8 +467,9 @@ def dq_orphans(spark, sf_dir):
 @query
 def dq_orphan_products(spark, sf_dir):
     """Products sold under a surrogate key that a dimension without road products lacks."""
-    items = products_frame(spark, sf_dir).filter(F.col("product_line") != "Road")
-    sold = fact_frame(spark, sf_dir).select("product_key", "product_sk")
+    gold = Gold(spark, sf_dir)
+    items = gold.items.filter(F.col("product_line") != "Road")
+    sold = gold.fact.select("product_key", "product_sk")
     return quality.orphan_keys(sold, items, "product_sk").select("product_key").distinct()
 
 
@@ -491,8 +502,8 @@ def dq_rejection_rate_exceeded(spark, sf_dir):
 
 @query
 def dq_mart_reconcile(spark, sf_dir):
-    rows, items = stored_fact(spark, sf_dir), products_frame(spark, sf_dir)
-    people = customers_frame(spark, sf_dir)
+    gold = Gold(spark, sf_dir)
+    rows, items, people = gold.stored_fact(), gold.items, stash(gold.people, "customers")
     return checks.mart_gaps(
         rows,
         marts.kpi_monthly(rows),
