@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -42,9 +43,13 @@ def scratch_root(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-    folder = tempfile.mkdtemp(prefix="silverlode-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return _local_scratch()
+
+
+@cache
+def _local_scratch() -> str:
+    """One folder per process: ``spark.checkpoint.dir`` cannot be set on a running session."""
+    return tempfile.mkdtemp(prefix="silverlode-")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
