@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from silverlode.llm import line_quality, secret_scan, url_filter
+from silverlode.llm import line_quality, packing, pii_spans, secret_scan, url_filter
 from silverlode.llm.common import read_table
 from silverlode.session import scratch_path
 
@@ -40,8 +40,26 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.findings(secret_scan.scan_history(docs, scratch_path(spark, "secret-ledger")))
 
 
+def packing_plan() -> packing.PackingPlan:
+    """The plan of the contract, with the vocabulary installed beside the libraries."""
+    import public_tokenizers
+
+    return packing.PackingPlan(tokenizer=public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query
+def op3_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return packing.piece_digests(packing.pack(docs, packing_plan()))
+
+
 @query
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
     return line_quality.assess(docs).select("doc_id", *(F.col(f"quality.{n}").alias(n) for n in names))
+
+
+@query
+def op5_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii_spans.findings(pii_spans.find_pii(read_table(spark, sf_dir, "documents").select("doc_id", "text")))
