@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from silverlode.llm import line_quality, packing, pii_spans, secret_scan, url_filter
+from silverlode.llm import line_dedup, line_quality, packing, pii_spans, secret_scan, sharding, url_filter
 from silverlode.llm.common import read_table
 from silverlode.session import scratch_path
 
@@ -63,3 +63,18 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op5_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii_spans.findings(pii_spans.find_pii(read_table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
+@query
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = line_dedup.drop_repeated_lines(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return done.select("doc_id", "lines.n_lines", "lines.n_dropped", F.sha2("lines.text", 256).alias("kept_sha256"))
+
+
+@query
+def op9_shard_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = sharding.assign_shards(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
