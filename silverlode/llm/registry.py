@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from silverlode.llm import line_dedup, line_quality, packing, pii_spans, secret_scan, sharding, url_filter
+from silverlode.llm import line_dedup, line_quality, packing, pii_spans, secret_scan, sharding, url_filter, warc
 from silverlode.llm.common import read_table
 from silverlode.session import scratch_path
 
@@ -78,3 +78,8 @@ def op9_shard_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"),
     )
+
+
+@query
+def op6_warc_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(read_table(spark, sf_dir, "pages"))
