@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from silverlode.llm import line_dedup, line_quality, packing
+from silverlode.llm import decontaminate, line_dedup, line_quality, near_dedup, packing
 from silverlode.llm.common import read_table
 from silverlode.llm.registry import packing_plan
 from silverlode.session import stash
@@ -20,6 +20,16 @@ def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return line_dedup.clean_lines(docs)
 
 
+def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group that shares 80 per cent of its five-word shingles."""
+    return near_dedup.keep_one_of_each(docs, near_dedup.NearDedupPlan(shingle=5))
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a benchmark passage."""
+    return decontaminate.drop_contaminated(docs, read_table(spark, sf_dir, "benchmark"))
+
+
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of token sequences."""
     return packing.piece_digests(packing.pack(docs, packing_plan()))
@@ -28,10 +38,12 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 STAGES = [
     ("quality_rules", quality_rules),
     ("line_dedup", line_dedup_stage),
+    ("near_dedup", near_dedup_stage),
+    ("decontamination", decontamination),
     ("packing", pack_sequences),
 ]
 
-#: Tokenising and the quality rules' cleaned texts are not expressible in SQL.
+#: Near-dedup components and token ids are not expressible in SQL.
 ORACLE_SQL = None
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from silverlode.llm import decontaminate, line_dedup, line_quality, packing, pii_spans, secret_scan, sharding, url_filter, warc
+from silverlode.llm import decontaminate, line_dedup, line_quality, near_dedup, packing, pii_spans, secret_scan, sharding, url_filter, warc
 from silverlode.llm.common import read_table
 from silverlode.session import scratch_path
 
@@ -93,3 +93,9 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "benchmark.n_words", "benchmark.n_hit", F.size("benchmark.items").cast("bigint").alias("n_items"),
         F.sha2(F.array_join("benchmark.items", ","), 256).alias("items_sha256"), (F.col("benchmark.n_hit") > 0).alias("contaminated"),
     )
+
+
+@query
+def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return near_dedup.near_duplicates(docs).select("doc_id", "n_shingles", "component_id", "kept")
