@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable, Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,3 +41,16 @@ def row_key(*columns: str) -> Column:
         text = F.col(name).cast("string")
         parts += [F.coalesce(F.length(text).cast("string"), F.lit("-")), F.coalesce(text, F.lit(""))]
     return F.unhex(F.md5(F.concat_ws(":", *parts)))
+
+
+def slices(batches: Iterable[pa.RecordBatch], column: str = "text", limit: int = 2 << 20) -> Iterator[pa.RecordBatch]:
+    """The rows in order, in parts of about ``limit`` bytes of ``column``, a longer text alone.
+
+    Batches hold a number of rows, whatever their length; working memory follows the bytes.
+    """
+    for batch in batches:
+        lengths = pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+        part = (np.cumsum(lengths, dtype=np.int64) - lengths) // limit
+        cuts = np.flatnonzero(np.diff(part, prepend=-1))
+        for start, end in zip(cuts, [*cuts[1:], len(part)], strict=True):
+            yield batch.slice(start, end - start)

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from silverlode.llm import bloom
-from silverlode.llm.common import row_key
+from silverlode.llm.common import row_key, slices
 from silverlode.llm.wordhash import ALNUM, Words, runs, words_of
 from silverlode.session import stash
 
@@ -47,7 +47,7 @@ def windows_of(items: DataFrame, plan: DecontaminationPlan) -> DataFrame:
     """(item, window) for each different window of each item, as arrays of words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             words = words_of(_binary(batch.column("text")), ALNUM)
             rows, windows, at = [], [], 0
             for n, count in enumerate(words.counts):
@@ -109,7 +109,7 @@ def occurrences(docs: DataFrame, shingles: DataFrame, plan: DecontaminationPlan)
     sizes = sorted({plan.shingle_of(n) for n in range(1, plan.window + 1)})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             words = words_of(_binary(batch.column("text")), ALNUM)
             found = [h[bloom.contains(held.value, h)] for h in (runs(words, size)[1] for size in sizes)]
             hashes, counts = np.unique(np.concatenate(found), return_counts=True)
@@ -133,7 +133,7 @@ def places(docs: DataFrame, prefix: DataFrame, plan: DecontaminationPlan) -> Dat
     hit = pa.struct([("hash", pa.int64()), ("at", pa.int64()), ("before", pa.int32()), ("words", pa.list_(pa.string()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             words = words_of(_binary(batch.column("text")), ALNUM)
             begin = np.cumsum(words.counts) - words.counts
             hits: list[list[dict]] = [[] for _ in range(batch.num_rows)]

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from silverlode.llm import bloom
-from silverlode.llm.common import SPACES, row_key
+from silverlode.llm.common import SPACES, row_key, slices
 from silverlode.session import stash
 
 
@@ -60,7 +60,7 @@ def suspected_lines(texts: DataFrame, plan: LineDedupPlan) -> DataFrame:
     repeats = texts.sparkSession.sparkContext.broadcast(twice)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             rows, digests, lines = [], [], []
             for n, text in enumerate(batch.column("text").to_pylist()):
                 for digest, numbers in line_digests(text, plan.min_chars).items():

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from silverlode.llm.common import row_key
+from silverlode.llm.common import row_key, slices
 from silverlode.llm.wordhash import SOLID, Words, runs, words_of
 from silverlode.session import stash
 
@@ -87,7 +87,7 @@ def signatures(rows: DataFrame, plan: NearDedupPlan) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seeds = _seeds(plan)
-        for batch in batches:
+        for batch in slices(batches):
             sets = shingle_sets(words_of(_binary(batch.column("text")), SOLID), plan.shingle)
             yield pa.RecordBatch.from_pydict(
                 {
@@ -227,7 +227,7 @@ def full_sets(rows: DataFrame, plan: NearDedupPlan) -> DataFrame:
     """(class, shingles) of each row of ``class`` and ``text``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             sets = shingle_sets(words_of(_binary(batch.column("text")), SOLID), plan.shingle)
             yield pa.RecordBatch.from_pydict(
                 {"class": batch.column("class"), "shingles": pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))}
