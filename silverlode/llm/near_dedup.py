@@ -38,9 +38,9 @@ class NearDedupPlan:
     #: Values in a tree's order, and how many of them neighbours share at least.
     depth: int = 6
     least_depth: int = 3
-    #: Rows of an order that are compared with those after them; closest ones are candidates at once.
+    #: Rows of an order that are compared with those after them; the next ones are candidates at once.
     reach: int = 32
-    close: int = 2
+    close: int = 1
     #: Equal quarter-bytes of two signatures that make a candidate: a link of 80 per cent has fewer once in a million.
     least_equal: int = 36
     seed: int = 7
