@@ -7,6 +7,7 @@ and copies need no care, and each row is judged alone.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -100,7 +101,12 @@ def repeated_words(words: Column, window: int) -> Column:
     return let(words, body)
 
 
-def line_fails(line: Column, limits: QualityLimits) -> Column:
+def has_phrase(text: Column) -> Column:
+    """Whether a text holds a phrase of page furniture anywhere: few texts do, and only their lines are searched."""
+    return let(F.lower(text), lambda low: reduce(lambda a, b: a | b, (F.contains(low, F.lit(p)) for p in BOILERPLATE)))
+
+
+def line_fails(line: Column, limits: QualityLimits, furnished: Column) -> Column:
     """Whether a line is marked junk, navigation or boilerplate; blank lines never fail."""
     n_words = F.regexp_count(line, F.lit(WORD_PATTERN))
     marked = F.regexp_count(line, F.lit(r"[^\x20\x09-\x0D]*(?:[#*$%&<>]|!!)[^\x20\x09-\x0D]*"))
@@ -108,7 +114,7 @@ def line_fails(line: Column, limits: QualityLimits) -> Column:
     punctuation = line.rlike(r"[#*$%&<>]|!!") & (marked * 100 > n_words * limits.max_marked_pct)
     navigation = line.rlike(r"[|»·>]") & (separators >= 2) & (n_words < (separators + 1) * limits.words_per_separator)
     phrases = r"(?i)(?:" + "|".join(BOILERPLATE) + ")"
-    boilerplate = line.rlike(phrases) & (n_words <= limits.boilerplate_words)
+    boilerplate = furnished & line.rlike(phrases) & (n_words <= limits.boilerplate_words)
     return punctuation | navigation | boilerplate
 
 
@@ -126,7 +132,7 @@ def assess(docs: DataFrame, limits: QualityLimits = QualityLimits(), *, text: st
         n_words = F.size(words).cast("bigint")
         lines = F.split(given, "\n", -1)
         worded = F.filter(lines, lambda line: line.rlike(WORD_PATTERN))
-        clean = F.filter(lines, lambda line: ~line_fails(line, limits))
+        clean = let(has_phrase(given), lambda furnished: F.filter(lines, lambda line: ~line_fails(line, limits, furnished)))
         counts = F.struct(
             n_words.alias("n_words"),
             word_chars(given).alias("word_chars"),
@@ -152,7 +158,8 @@ def assess(docs: DataFrame, limits: QualityLimits = QualityLimits(), *, text: st
 
         return let(counts, verdict)
 
-    return docs.withColumn(out, let(words_of(given), judged))
+    # As rows of a generator the verdicts are computed once, whatever reads their fields later.
+    return docs.select(*(c for c in docs.columns if c != out), F.explode(F.array(let(words_of(given), judged))).alias(out))
 
 
 def keep_good(docs: DataFrame, limits: QualityLimits = QualityLimits(), *, text: str = "text") -> DataFrame:
