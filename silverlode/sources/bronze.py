@@ -42,7 +42,7 @@ class Load:
 
 
 def read_raw(
-    spark: SparkSession, spec: SourceSpec, headers: Sequence[FileHeader], keep_extra: bool = False
+    spark: SparkSession, spec: SourceSpec, headers: Sequence[FileHeader], keep_extra: bool = True
 ) -> DataFrame:
     """All files as strings, selected by name, with ``_rescued_data`` and ``_source_file``.
 
@@ -61,6 +61,8 @@ def read_raw(
             .option("escape", '"')
             .option("mode", "PERMISSIVE")
             .option("columnNameOfCorruptRecord", RESCUED)
+            # Fields are only counted where all columns are read.
+            .option("columnPruning", False)
             .csv(paths)
         )
         frames.append(rows.select(*wanted, RESCUED, F.col("_metadata.file_name").alias("_source_file")))
@@ -152,7 +154,7 @@ def load_files(
     batch_id: str,
     mode: str = "append",
     loaded_at: dt.datetime | None = None,
-    keep_extra: bool = False,
+    keep_extra: bool = True,
 ) -> Load:
     """Load the listed files (rows of ``FILE_SCHEMA``) as one batch; bad headers go to quarantine."""
     headers = read_headers(spark, spec, [f["path"] for f in files])
@@ -169,7 +171,12 @@ def load_files(
     ledger = spark.createDataFrame(
         entries, "_batch_id string, path string, modificationTime timestamp, length long"
     )
-    _append_log(ledger, bronze, "ingest_files", spec.table)
+    if mode == "overwrite":
+        # What was loaded before is gone from the table, so it may be loaded again.
+        path = f"{bronze.rstrip('/')}/ingest_files/_source_table={spec.table}"
+        ledger.coalesce(1).write.mode("overwrite").parquet(path)
+    else:
+        _append_log(ledger, bronze, "ingest_files", spec.table)
     # Three narrow columns of the one batch folder: counts what this batch wrote, nothing else.
     written = read_bronze(spark, bronze, spec.table, merge_schema=False).filter(F.col(BATCH) == batch_id)
     counted = summarise(written).first()
@@ -186,7 +193,7 @@ def load_batch(
     mode: str = "append",
     batch_id: str | None = None,
     loaded_at: dt.datetime | None = None,
-    keep_extra: bool = False,
+    keep_extra: bool = True,
 ) -> Load:
     """Load what lies in the landing folder: everything (``overwrite``) or what is new (``append``)."""
     batch_id = batch_id or new_batch_id()
@@ -200,7 +207,7 @@ def load_batch(
 
 
 def new_batch_id() -> str:
-    return uuid.uuid4().hex[:12]
+    return str(uuid.uuid4())
 
 
 def ingest_all(
@@ -211,7 +218,7 @@ def ingest_all(
     mode: str = "append",
     batch_id: str | None = None,
     loaded_at: dt.datetime | None = None,
-    keep_extra: bool = False,
+    keep_extra: bool = True,
 ) -> list[Load]:
     """Load every extract, or one system's, side by side; a failing extract is quarantined and the
     others go on. Writes one audit row per loaded table."""
@@ -221,7 +228,7 @@ def ingest_all(
         try:
             return load_batch(spark, spec, landing, bronze, mode, batch_id, loaded_at, keep_extra)
         except Exception as problem:  # any failure is this extract's alone
-            skipped = (spec.pattern.rsplit("/", 1)[-1], str(problem)[:2000])
+            skipped = (spec.pattern.rsplit("/", 1)[-1], str(problem))
             quarantine(spark, bronze, spec.table, [skipped])
             return None
 
@@ -235,14 +242,19 @@ def ingest_all(
 def compact_bronze(spark: SparkSession, bronze: str, target: str) -> list[str]:
     """Copy every bronze table that exists into ``target`` with few files per batch folder.
 
-    Batches keep their folders, so loads may go on in the new place; the caller points
-    ``bronze`` there. Returns the tables copied.
+    Batches keep their folders and the logs go with them, so loads may go on in the new place; the
+    caller points ``bronze`` there. Returns the tables copied.
     """
     done = []
     for spec in sources():
         if exists(spark, f"{bronze.rstrip('/')}/{spec.table}"):
             rows = read_bronze(spark, bronze, spec.table).hint("rebalance", BATCH)
             write_bronze(rows, target, spec.table, "overwrite")
+            for log in ("ingest_files", "ingest_audit", "ingest_quarantine"):
+                folder = f"{log}/_source_table={spec.table}"
+                if exists(spark, f"{bronze.rstrip('/')}/{folder}"):
+                    kept = spark.read.parquet(f"{bronze.rstrip('/')}/{folder}")
+                    kept.coalesce(1).write.mode("overwrite").parquet(f"{target.rstrip('/')}/{folder}")
             done.append(spec.table)
     return done
 

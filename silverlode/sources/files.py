@@ -23,14 +23,13 @@ def child_folders(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory())
 
 
-def first_line(spark: SparkSession, path: str, limit: int = 65_536) -> str:
-    """First line of a text file, reading no more than ``limit`` bytes of it."""
+def first_line(spark: SparkSession, path: str) -> str:
+    """The whole first line of a text file; what follows is not read beyond a buffer."""
     fs, p = _file_system(spark, path)
     stream = fs.open(p)
     try:
         jvm = spark._jvm
-        bounded = jvm.org.apache.commons.io.input.BoundedInputStream(stream, limit)
-        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(bounded, "UTF-8"))
+        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
         return reader.readLine() or ""
     finally:
         stream.close()

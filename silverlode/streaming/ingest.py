@@ -7,6 +7,7 @@ its few files through the same code as a batch load.
 
 from __future__ import annotations
 
+import json
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
@@ -33,19 +34,25 @@ def ingest_stream(
     bronze: str,
     checkpoints: str,
     files_per_trigger: int = 8,
-    keep_extra: bool = False,
+    keep_extra: bool = True,
 ) -> list[Load]:
     """Load every file that no earlier run has loaded, then stop.
 
     ``foreachBatch`` may repeat a micro-batch after a crash, so the bronze batch id is the number of
-    the micro-batch: the repeat overwrites its own folder and no row doubles.
+    the micro-batch under the id that the checkpoint holds: the repeat overwrites its own folder, and a
+    new checkpoint never overwrites what another one loaded.
     """
     loads: list[Load] = []
+    checkpoint = f"{checkpoints.rstrip('/')}/{spec.table}"
+
+    def identity(files: DataFrame) -> str:
+        # Written before the first micro-batch and the same after every restart.
+        return json.loads(files.sparkSession.read.text(f"{checkpoint}/metadata").first()[0])["id"]
 
     def load(files: DataFrame, epoch: int) -> None:
         # At most files_per_trigger names.
         listed = files.collect()
-        batch_id = f"stream-{epoch:08d}"
+        batch_id = f"stream-{identity(files)}-{epoch:08d}"
         done = load_files(files.sparkSession, spec, listed, bronze, batch_id, keep_extra=keep_extra)
         write_audit(files.sparkSession, bronze, [done])
         loads.append(done)
@@ -53,7 +60,7 @@ def ingest_stream(
     query = (
         new_files(spark, spec.path(landing), files_per_trigger)
         .writeStream.foreachBatch(load)
-        .option("checkpointLocation", f"{checkpoints.rstrip('/')}/{spec.table}")
+        .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
@@ -79,7 +86,7 @@ def ingest_streams(
         try:
             return ingest_stream(spark, spec, landing, bronze, checkpoints, files_per_trigger)
         except Exception as problem:  # any failure is this extract's alone
-            skipped = (spec.pattern.rsplit("/", 1)[-1], str(problem)[:2000])
+            skipped = (spec.pattern.rsplit("/", 1)[-1], str(problem))
             quarantine(spark, bronze, spec.table, [skipped])
             return []
 
