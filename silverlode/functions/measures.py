@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -11,15 +12,22 @@ from silverlode.functions.text import ColumnLike, as_column
 
 
 def ratio(numerator: ColumnLike, denominator: ColumnLike, scale: int) -> Column:
-    """Quotient rounded half up in decimal arithmetic; null for a null or zero divisor."""
-    exact = F.try_divide(_decimal(numerator), _decimal(denominator))
-    return F.round(exact, scale).cast(f"decimal(38,{scale})")
-
-
-def _decimal(c: ColumnLike) -> Column:
-    # 28 digits with 2 decimals hold any sum of decimal(18,2) amounts and leave the quotient ten
-    # decimals, so rounding to four never rounds an already rounded digit that matters.
-    return as_column(c).cast("decimal(28,2)")
+    """Quotient rounded half up, exactly; null for a null or zero divisor.
+
+    In whole units: the remainder decides about rounding, and without it the division has no rest.
+    """
+    top, bottom = _hundredths(numerator), _hundredths(denominator)
+    units = (F.abs(top) * 10**scale).cast("decimal(38,0)")
+    rest = F.try_mod(units, F.abs(bottom))
+    whole = F.try_divide(units - rest, F.abs(bottom)).cast("decimal(36,0)")
+    rounded = whole + F.when(rest * 2 >= F.abs(bottom), 1).otherwise(0)
+    signed = F.when((top < 0) != (bottom < 0), -rounded).otherwise(rounded)
+    return (signed * F.lit(Decimal(1).scaleb(-scale))).cast(f"decimal(38,{scale})")
+
+
+def _hundredths(c: ColumnLike) -> Column:
+    # 28 digits with 2 decimals hold any sum of decimal(18,2) amounts.
+    return (as_column(c).cast("decimal(28,2)") * 100).cast("decimal(28,0)")
 
 
 def plain_average(total: ColumnLike, count: ColumnLike) -> Column:

@@ -16,9 +16,6 @@ from pyspark.sql import Window as W
 
 from silverlode.session import stash
 
-# Up to this many rows one task sorts the whole input faster than three stages do.
-ONE_TASK_ROWS = 200_000
-
 _PART, _POS = "_range_part", "_range_pos"
 # monotonically_increasing_id() is the partition number shifted left by 33 bits plus the row index.
 _ROW_BITS = 33
@@ -40,18 +37,12 @@ class Ordering:
     total: Mapping[str, str] = field(default_factory=dict)
 
 
-def rank_globally(
-    df: DataFrame, *orderings: Ordering, one_task_rows: int = ONE_TASK_ROWS
-) -> DataFrame:
-    """``df`` with the columns of every ordering.
-
-    Up to ``one_task_rows`` rows, counted on the stored input, plain windows are used; above that
-    the distributed form, with the same result.
-    """
+def rank_globally(df: DataFrame, *orderings: Ordering) -> DataFrame:
+    """``df`` with the columns of every ordering."""
+    # Stored, because finding the range borders reads the rows once more.
     ranked = stash(df, "rank-input")
-    add = _in_one_task if ranked.count() <= one_task_rows else _in_ranges
     for ordering in orderings:
-        ranked = add(ranked, ordering)
+        ranked = _in_ranges(ranked, ordering)
     return ranked
 
 
@@ -68,23 +59,6 @@ def ntile_of_rank(rank: Column, total: Column, buckets: int) -> Column:
     )
 
 
-def _in_one_task(base: DataFrame, asked: Ordering) -> DataFrame:
-    ordered = W.orderBy(*asked.by)
-    running = ordered.rowsBetween(W.unboundedPreceding, W.currentRow)
-    added: dict[str, Column] = {}
-    if asked.row_number:
-        added[asked.row_number] = F.row_number().over(ordered).cast("bigint")
-    for name, buckets in asked.ntile.items():
-        added[name] = F.ntile(buckets).over(ordered)
-    for name in asked.dense_rank:
-        added[name] = F.dense_rank().over(W.orderBy(asked.by[0])).cast("bigint")
-    for name, source in asked.running_sum.items():
-        added[name] = F.sum(source).over(running)
-    for name, source in asked.total.items():
-        added[name] = F.sum(source).over(W.partitionBy())
-    return base.withColumns(added)
-
-
 def _in_ranges(base: DataFrame, asked: Ordering) -> DataFrame:
     placed = (
         base.repartitionByRange(*asked.by)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from silverlode.operators.sequence import number_in_key
 from silverlode.operators.versioned import union_all
+from silverlode.sources.files import exists
 
 
 class QualityError(RuntimeError):
@@ -124,7 +125,7 @@ def run_checks(
 ) -> list[dict]:
     """Run the checks of several tables in one job; store the offending rows of those that fail.
 
-    Returns one record per check with status ``pass``, ``warn`` or ``error``. With
+    A check that passes again empties the rows that it stored before. Returns one record per check with status ``pass``, ``warn`` or ``error``. With
     ``stop_on_error`` an ``error`` raises after everything has been recorded.
     """
     report = union_all(
@@ -141,9 +142,12 @@ def run_checks(
         failed = {(r["table_name"], r["check_name"]) for r in records if r["status"] != "pass"}
         for name, (df, checks) in tables.items():
             for check in checks:
+                path = f"{store.rstrip('/')}/{name}__{check.name}"
                 if (name, check.name) in failed:
-                    path = f"{store.rstrip('/')}/{name}__{check.name}"
                     check.offending(df).write.mode("overwrite").parquet(path)
+                elif exists(report.sparkSession, path):
+                    # What an earlier run left no longer holds.
+                    check.offending(df).limit(0).write.mode("overwrite").parquet(path)
     errors = [f"{r['table_name']}.{r['check_name']}: {r['failures']}" for r in records if r["status"] == "error"]
     if errors and stop_on_error:
         raise QualityError("; ".join(errors))

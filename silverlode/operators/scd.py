@@ -7,14 +7,12 @@ from pyspark.sql import functions as F
 
 from silverlode.functions.calendar import days_between
 from silverlode.functions.typed import open_end
-from silverlode.operators.sequence import HOT_ROWS, number_in_key
+from silverlode.operators.sequence import number_in_key
 
 NEXT_START = "next_version_start_date"
 
 
-def scd2(
-    df: DataFrame, key: str, start: str, tiebreak: str, hot_rows: int = HOT_ROWS
-) -> DataFrame:
+def scd2(df: DataFrame, key: str, start: str, tiebreak: str) -> DataFrame:
     """Validity windows that tile each key's timeline.
 
     A version runs from its own start to the day before the next version's start, the last one to
@@ -28,7 +26,6 @@ def scd2(
         number="version_number",
         count="version_count",
         next_value=(start, NEXT_START),
-        hot_rows=hot_rows,
     )
     return (
         ordered.withColumns(

@@ -1,4 +1,4 @@
-"""Position, count and next value of every row inside its key, safe for very large keys."""
+"""Position, count and next value of every row inside its key, whatever the size of the key."""
 
 from __future__ import annotations
 
@@ -10,25 +10,11 @@ from pyspark.sql import Window as W
 
 from silverlode.session import stash
 
-# A key with more rows than this is spread over several tasks.
-HOT_ROWS = 1_000_000
-# No more than this many keys can be hot: a hot key also holds this fraction of all rows.
-MAX_HOT_KEYS = 10_000
-
 _PART, _POS = "_seq_part", "_seq_pos"
+# monotonically_increasing_id() is the partition number shifted left by 33 bits plus the row index.
 _ROW_BITS = 33
 
 
-def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> list:
-    """Keys with more than ``hot_rows`` rows and more than 1 / ``MAX_HOT_KEYS`` of all rows.
-
-    The counts combine on the map side; the list reaches the driver with its size bounded.
-    """
-    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    share = counts.agg(F.sum("_n") / MAX_HOT_KEYS).scalar()
-    return [row[0] for row in counts.filter((F.col("_n") > hot_rows) & (F.col("_n") > share)).collect()]
-
-
 def number_in_key(
     df: DataFrame,
     key: str,
@@ -36,68 +22,63 @@ def number_in_key(
     number: str,
     count: str,
     next_value: tuple[str, str],
-    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Adds ``number`` (1-based position), ``count`` (rows of the key) and the next row's value.
 
     ``next_value`` is ``(source column, output column)``. ``order`` ascends, nulls last, and should
-    end in a unique column. Ordinary keys take one window over one exchange. Keys above ``hot_rows``
-    are cut into sorted ranges, one task each, and joined to a small table of range borders.
+    end in a unique column; a null key is a key of its own. Rows are cut into sorted ranges of key and
+    order, so a key of any size spreads over as many tasks as it has ranges. Windows stay inside a
+    range; what a key has in other ranges comes from a table of the first and last key of each range.
     """
-    hot = hot_keys(df, key, hot_rows)
-    if not hot:
-        return _one_window(df, key, order, number, count, next_value)
-    is_hot = F.coalesce(F.col(key).isin([k for k in hot if k is not None]), F.lit(False))
-    if None in hot:
-        is_hot = is_hot | F.col(key).isNull()
-    ordinary = _one_window(df.filter(~is_hot), key, order, number, count, next_value)
-    spread = _sorted_ranges(df.filter(is_hot), key, order, number, count, next_value)
-    return ordinary.unionByName(spread)
-
-
-def _one_window(df, key, order, number, count, next_value):
     source, output = next_value
-    window = W.partitionBy(key).orderBy(*[F.asc_nulls_last(c) for c in order])
-    return df.withColumns(
+    rows = sorted_ranges(df, key, order)
+    borders = _borders(rows, key, source)
+    same = F.col(key).eqNullSafe(F.col("_border_key")) & (F.col(_PART) == F.col("_border_part"))
+    in_range = W.partitionBy(_PART, key)
+    local = rows.withColumns(
         {
-            number: F.row_number().over(window),
-            count: F.count(F.lit(1)).over(W.partitionBy(key)),
-            output: F.lead(source).over(window),
+            "_local": F.row_number().over(in_range.orderBy(_POS)),
+            "_local_next": F.lead(F.struct(source)).over(in_range.orderBy(_POS)),
+            "_local_count": F.count(F.lit(1)).over(in_range),
         }
     )
+    joined = local.join(F.broadcast(borders), same, "left")
+    return joined.select(
+        *df.columns,
+        (F.coalesce("_before", F.lit(0)) + F.col("_local")).cast("int").alias(number),
+        F.coalesce("_all", "_local_count").alias(count),
+        F.coalesce("_local_next", "_next_first")[source].alias(output),
+    )
 
 
-def _sorted_ranges(df, key, order, number, count, next_value):
-    source, output = next_value
+def sorted_ranges(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
+    """``df`` stored in ranges of key and order, with the number of the range and the place in it."""
     by = [F.asc_nulls_last(key), *[F.asc_nulls_last(c) for c in order]]
     placed = df.repartitionByRange(*by).sortWithinPartitions(*by)
+    # Stored, because borders and rows must see the same ranges.
     placed = placed.withColumn(_POS, F.monotonically_increasing_id())
-    rows = stash(placed, "sequence").withColumn(_PART, F.shiftright(_POS, _ROW_BITS))
+    return stash(placed, "sequence").withColumn(_PART, F.shiftright(_POS, _ROW_BITS))
 
-    # One row per range and hot key: at most (ranges + hot keys) rows.
-    borders = rows.groupBy(key, _PART).agg(
+
+def _borders(rows: DataFrame, key: str, source: str) -> DataFrame:
+    """Of the first and last key of every range: rows before, rows in all, first value of the next range.
+
+    Only such keys can go on in another range. Two rows per range at most, however many keys there are.
+    """
+    places = rows.groupBy(_PART).agg(F.min(_POS).alias("_low"), F.max(_POS).alias("_high"))
+    places = places.select(F.explode(F.array_distinct(F.array("_low", "_high"))).alias(_POS))
+    ends = rows.join(F.broadcast(places), _POS).select(
+        F.col(_PART).alias("_border_part"), F.col(key).alias("_border_key")
+    )
+    same = F.col(key).eqNullSafe(F.col("_border_key")) & (F.col(_PART) == F.col("_border_part"))
+    pieces = rows.join(F.broadcast(ends.distinct()), same).groupBy("_border_part", "_border_key").agg(
         F.count(F.lit(1)).alias("_rows"), F.min_by(F.struct(source), _POS).alias("_first")
     )
-    along = W.partitionBy(key).orderBy(_PART)
-    borders = borders.select(
-        F.col(key).alias("_key"),
-        F.col(_PART).alias("_border_part"),
+    along = W.partitionBy("_border_key").orderBy("_border_part")
+    return pieces.select(
+        "_border_part",
+        "_border_key",
         F.coalesce(F.sum("_rows").over(along.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("_before"),
-        F.sum("_rows").over(W.partitionBy(key)).alias("_all"),
+        F.sum("_rows").over(W.partitionBy("_border_key")).alias("_all"),
         F.lead("_first").over(along).alias("_next_first"),
     )
-    in_range = W.partitionBy(_PART, key).orderBy(_POS)
-    local = rows.withColumns(
-        {
-            "_local": F.row_number().over(in_range),
-            "_local_next": F.lead(F.struct(source)).over(in_range),
-        }
-    )
-    same = F.col(key).eqNullSafe(F.col("_key")) & (F.col(_PART) == F.col("_border_part"))
-    joined = local.join(F.broadcast(borders), same)
-    return joined.select(
-        *df.columns,
-        (F.col("_before") + F.col("_local")).cast("int").alias(number),
-        F.col("_all").alias(count),
-        F.coalesce("_local_next", "_next_first")[source].alias(output),
-    )

@@ -131,17 +131,45 @@ def price_sales(sales: DataFrame, products: DataFrame) -> DataFrame:
     return _with_margins(sales.join(products, "product_key", "left"))
 
 
-# Order of the enriched columns; surrogate keys follow when the lookups carry them.
+# Output columns. Surrogate keys follow when the lookups carry them.
 ENRICHED_COLUMNS = (
-    "sales_line_id order_number product_key customer_id customer_key product_version_id "
-    "order_date ship_date due_date days_to_ship days_to_due days_in_transit "
-    "sales_amount quantity unit_price discount_amount realised_unit_price "
-    "product_cost gross_margin gross_margin_pct unit_margin_pct "
-    "product_name product_line product_version_count product_start_date product_end_date "
-    "category_id category_name subcategory_name requires_maintenance "
-    "customer_name customer_gender customer_marital_status customer_age_band customer_country "
-    "bronze_ingested_at"
-).split()
+    "sales_line_id",
+    "order_number",
+    "product_key",
+    "customer_id",
+    "customer_key",
+    "product_version_id",
+    "order_date",
+    "ship_date",
+    "due_date",
+    "days_to_ship",
+    "days_to_due",
+    "days_in_transit",
+    "sales_amount",
+    "quantity",
+    "unit_price",
+    "discount_amount",
+    "realised_unit_price",
+    "product_cost",
+    "gross_margin",
+    "gross_margin_pct",
+    "unit_margin_pct",
+    "product_name",
+    "product_line",
+    "product_version_count",
+    "product_start_date",
+    "product_end_date",
+    "category_id",
+    "category_name",
+    "subcategory_name",
+    "requires_maintenance",
+    "customer_name",
+    "customer_gender",
+    "customer_marital_status",
+    "customer_age_band",
+    "customer_country",
+    "bronze_ingested_at",
+)
 
 
 def enrich_sales(sales: DataFrame, customers: DataFrame, products: DataFrame) -> DataFrame:

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from silverlode.functions.calendar import as_of_date, calendar_attributes, days_between
 from silverlode.functions.text import hashed_key
 from silverlode.operators.scd import scd2
-from silverlode.operators.sequence import HOT_ROWS
 from silverlode.plans.conform import with_customer_sk
 
 
@@ -98,7 +97,7 @@ def dim_customers(customers: DataFrame, sales: DataFrame, as_of: dt.date | None)
     )
 
 
-def dim_products(versions: DataFrame, categories: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def dim_products(versions: DataFrame, categories: DataFrame) -> DataFrame:
     """One row per product version with a validity window built from the start dates.
 
     The source's own end dates are not used: they hold the previous version's end.
@@ -118,7 +117,6 @@ def dim_products(versions: DataFrame, categories: DataFrame, hot_rows: int = HOT
         "product_key",
         "start_date",
         "product_version_id",
-        hot_rows,
     )
     hierarchy = categories.select(
         "category_id", "category_name", "subcategory_name", "requires_maintenance"

@@ -13,15 +13,36 @@ FACT_PARTITION = "order_year_month"
 # Inside a month by date, then by line: both leave narrow min/max ranges per row group.
 FACT_SORT = ("order_date", FACT_KEY)
 
+# Output columns.
 _AFTER_CALENDAR = (
-    "ship_date due_date days_to_ship days_to_due days_in_transit "
-    "sales_amount quantity unit_price discount_amount realised_unit_price "
-    "product_cost gross_margin gross_margin_pct unit_margin_pct "
-    "product_name product_line product_version_count "
-    "category_id category_name subcategory_name requires_maintenance "
-    "customer_name customer_gender customer_marital_status customer_age_band customer_country "
-    "bronze_ingested_at"
-).split()
+    "ship_date",
+    "due_date",
+    "days_to_ship",
+    "days_to_due",
+    "days_in_transit",
+    "sales_amount",
+    "quantity",
+    "unit_price",
+    "discount_amount",
+    "realised_unit_price",
+    "product_cost",
+    "gross_margin",
+    "gross_margin_pct",
+    "unit_margin_pct",
+    "product_name",
+    "product_line",
+    "product_version_count",
+    "category_id",
+    "category_name",
+    "subcategory_name",
+    "requires_maintenance",
+    "customer_name",
+    "customer_gender",
+    "customer_marital_status",
+    "customer_age_band",
+    "customer_country",
+    "bronze_ingested_at",
+)
 
 
 def fact_rows(enriched: DataFrame) -> DataFrame:

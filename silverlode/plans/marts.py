@@ -10,7 +10,7 @@ from pyspark.sql import Window as W
 
 from silverlode.functions.calendar import as_of_date, calendar_attributes, days_between
 from silverlode.functions.measures import first_match, plain_average, ratio
-from silverlode.operators.ordering import ONE_TASK_ROWS, Ordering, rank_globally
+from silverlode.operators.ordering import Ordering, rank_globally
 
 
 def _change(now: str, before: str):
@@ -88,9 +88,7 @@ def kpi_monthly(fact: DataFrame, calendar: bool = False) -> DataFrame:
     ).orderBy("order_year_month")
 
 
-def product_performance(
-    fact: DataFrame, dim_products: DataFrame, one_task_rows: int = ONE_TASK_ROWS
-) -> DataFrame:
+def product_performance(fact: DataFrame, dim_products: DataFrame) -> DataFrame:
     """Sold products by revenue, with cumulative share and ABC class.
 
     ``revenue_rank`` is a row number (ties by product key); ``revenue_tiebreak`` is the dense rank.
@@ -115,7 +113,6 @@ def product_performance(
             running_sum={"_revenue_so_far": "gross_revenue"},
             total={"_portfolio": "gross_revenue"},
         ),
-        one_task_rows=one_task_rows,
     )
     described = dim_products.filter("is_current").select(
         "product_key",
@@ -237,7 +234,6 @@ def rfm_segments(
     dim_customers: DataFrame,
     as_of: dt.date | None = None,
     count_orders: bool = False,
-    one_task_rows: int = ONE_TASK_ROWS,
 ) -> DataFrame:
     """Recency, frequency and monetary fifths of every buyer, and the segment they imply.
 
@@ -262,7 +258,6 @@ def rfm_segments(
         Ordering([F.desc_nulls_last("recency_days"), by_id], ntile={"recency_score": 5}),
         Ordering([F.asc_nulls_last("frequency_orders"), by_id], ntile={"frequency_score": 5}),
         Ordering([F.asc_nulls_last("monetary_value"), by_id], ntile={"monetary_score": 5}),
-        one_task_rows=one_task_rows,
     )
     total = F.col("recency_score") + F.col("frequency_score") + F.col("monetary_score")
     return scored.select(

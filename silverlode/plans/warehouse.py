@@ -120,7 +120,7 @@ class Sides:
 
 def store_sides(clean: Silver, settings: Settings) -> Sides:
     with ThreadPoolExecutor(max_workers=1) as pool:
-        # Read by the hot-key count, the history and the lookup.
+        # Read by the history, twice, and by the lookup.
         clean.products = stash(clean.products, "product-versions")
         customers = conform.with_customer_sk(conformed_customers(clean, settings))
         people = pool.submit(stash, customers, "customers")
@@ -156,7 +156,7 @@ def build(spark: SparkSession, raw, settings: Settings, full: bool = False) -> d
         stored[name] = materialise(df, "gold", name, settings.root, cluster_by)
         return stored[name]
 
-    # Read by the hot-key count, the history and the lookup.
+    # Read by the history, twice, and by the lookup.
     clean.products = stash(clean.products, "product-versions")
     keep(
         "dim_dates",

@@ -203,11 +203,11 @@ def scd2_events(spark, sf_dir):
 
 @query
 def scd2_events_hot_keys(spark, sf_dir):
-    """The same history with every user treated as too large for one task."""
+    """The user of each event as a history of the event type: a handful of keys hold all rows."""
     events = table(spark, sf_dir, "events").select(
         "user_id", "event_id", "event_type", F.col("ts").cast("date").alias("day")
     )
-    return scd.scd2(events, "user_id", "day", "event_id", hot_rows=0).drop("day")
+    return scd.scd2(events, "event_type", "day", "event_id").drop("day")
 
 
 @query
@@ -328,9 +328,9 @@ def rfm_segments(spark, sf_dir):
 
 @query
 def rfm_segments_orders(spark, sf_dir):
-    """Frequency as distinct orders instead of lines, ranked without a single-task window."""
+    """Frequency as distinct orders instead of lines."""
     gold = Gold(spark, sf_dir)
-    return marts.rfm_segments(gold.fact, gold.people, AS_OF, count_orders=True, one_task_rows=0)
+    return marts.rfm_segments(gold.fact, gold.people, AS_OF, count_orders=True)
 
 
 # --- global order ----------------------------------------------------------------------------------
@@ -341,7 +341,7 @@ def global_ntile(spark, sf_dir):
     customers = table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal")
     by = [F.desc_nulls_last("c_acctbal"), F.asc_nulls_last("c_custkey")]
     wanted = ordering.Ordering(by, row_number="position", ntile={"fifth": 5, "seventh": 7})
-    return ordering.rank_globally(customers, wanted, one_task_rows=0)
+    return ordering.rank_globally(customers, wanted)
 
 
 @query
@@ -362,7 +362,7 @@ def global_cumsum(spark, sf_dir):
         running_sum={"price_so_far": "price"},
         total={"price_total": "price"},
     )
-    return ordering.rank_globally(lines, wanted, one_task_rows=0)
+    return ordering.rank_globally(lines, wanted)
 
 
 @query
@@ -371,7 +371,7 @@ def global_dense_rank(spark, sf_dir):
     parts = table(spark, sf_dir, "part").select("p_partkey", "p_size")
     by = [F.desc_nulls_last("p_size"), F.asc_nulls_last("p_partkey")]
     wanted = ordering.Ordering(by, row_number="position", dense_rank={"size_rank": "p_size"})
-    return ordering.rank_globally(parts, wanted, one_task_rows=0)
+    return ordering.rank_globally(parts, wanted)
 
 
 # --- checks ----------------------------------------------------------------------------------------

@@ -27,7 +27,7 @@ class EmptyLoadError(RuntimeError):
 
 @dataclass(frozen=True)
 class Load:
-    """Outcome of loading one extract."""
+    """Outcome of loading one extract; ``problem`` tells why nothing of it could be loaded."""
 
     table: str
     system: str
@@ -36,6 +36,7 @@ class Load:
     rescued_row_count: int
     file_count: int
     mode: str
+    problem: str | None = None
 
 
 # --- reading ---------------------------------------------------------------------------------------
@@ -63,6 +64,7 @@ def read_raw(
             .option("columnNameOfCorruptRecord", RESCUED)
             # Fields are only counted where all columns are read.
             .option("columnPruning", False)
+            .option("multiLine", spec.multi_line)
             .csv(paths)
         )
         frames.append(rows.select(*wanted, RESCUED, F.col("_metadata.file_name").alias("_source_file")))
@@ -162,7 +164,8 @@ def load_files(
     good = [h for h in headers if not h.problem]
     quarantine(spark, bronze, spec.table, bad)
     if not good:
-        return Load(spec.table, spec.system, batch_id, 0, 0, 0, mode)
+        problem = "; ".join(f"{name}: {reason}" for name, reason in bad) or None
+        return Load(spec.table, spec.system, batch_id, 0, 0, 0, mode, problem)
     rows = with_lineage(read_raw(spark, spec, good, keep_extra), spec, batch_id, loaded_at)
     write_bronze(rows, bronze, spec.table, mode)
 
@@ -221,21 +224,22 @@ def ingest_all(
     keep_extra: bool = True,
 ) -> list[Load]:
     """Load every extract, or one system's, side by side; a failing extract is quarantined and the
-    others go on. Writes one audit row per loaded table."""
+    others go on. Returns a load for every extract, failed ones with their problem, and writes one
+    audit row for each of the others."""
     batch_id = batch_id or new_batch_id()
 
-    def one(spec: SourceSpec) -> Load | None:
+    def one(spec: SourceSpec) -> Load:
         try:
             return load_batch(spark, spec, landing, bronze, mode, batch_id, loaded_at, keep_extra)
         except Exception as problem:  # any failure is this extract's alone
             skipped = (spec.pattern.rsplit("/", 1)[-1], str(problem))
             quarantine(spark, bronze, spec.table, [skipped])
-            return None
+            return Load(spec.table, spec.system, batch_id, 0, 0, 0, mode, str(problem))
 
     specs = sources(system)
     with ThreadPoolExecutor(max_workers=len(specs)) as pool:
-        loads = [load for load in pool.map(one, specs) if load]
-    write_audit(spark, bronze, loads)
+        loads = list(pool.map(one, specs))
+    write_audit(spark, bronze, [load for load in loads if not load.problem])
     return loads
 
 
@@ -284,7 +288,15 @@ def audit_totals(audit: DataFrame, batch_id: str) -> DataFrame:
 
 
 def assert_loaded(loads: Sequence[Load]) -> None:
-    """Fail when a table got no rows. Rescued rows alone are no failure: they were kept."""
-    empty = [load.table for load in loads if load.row_count == 0]
+    """Fail when a table got no rows, because its extract failed or was empty.
+
+    An append or a stream that found no new file is no failure. Nor are rescued rows: they were kept.
+    """
+    empty = []
+    for table in dict.fromkeys(load.table for load in loads):
+        own = [load for load in loads if load.table == table]
+        expected = any(load.problem or load.file_count or load.mode == "overwrite" for load in own)
+        if expected and not any(load.row_count for load in own):
+            empty.append(" ".join([table, *(f"({load.problem})" for load in own if load.problem)]))
     if empty:
         raise EmptyLoadError(f"no rows loaded into: {', '.join(empty)}")

@@ -17,6 +17,8 @@ class SourceSpec:
     system: str
     pattern: str  # relative to the landing folder, may hold wild cards
     columns: tuple[str, ...]
+    #: Quoted fields may hold line breaks. Such a file is read by one task, so only where it must be.
+    multi_line: bool = False
 
     @property
     def schema(self) -> T.StructType:

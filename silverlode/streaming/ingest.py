@@ -54,7 +54,7 @@ def ingest_stream(
         listed = files.collect()
         batch_id = f"stream-{identity(files)}-{epoch:08d}"
         done = load_files(files.sparkSession, spec, listed, bronze, batch_id, keep_extra=keep_extra)
-        write_audit(files.sparkSession, bronze, [done])
+        write_audit(files.sparkSession, bronze, [] if done.problem else [done])
         loads.append(done)
 
     query = (
@@ -88,7 +88,7 @@ def ingest_streams(
         except Exception as problem:  # any failure is this extract's alone
             skipped = (spec.pattern.rsplit("/", 1)[-1], str(problem))
             quarantine(spark, bronze, spec.table, [skipped])
-            return []
+            return [Load(spec.table, spec.system, "", 0, 0, 0, "append", str(problem))]
 
     specs = sources(system)
     with ThreadPoolExecutor(max_workers=len(specs)) as pool:

@@ -93,6 +93,12 @@ def test_ratio(spark):
     df = spark.createDataFrame([(Decimal("100.01"), 2), (Decimal("-100.01"), 2), (Decimal("1"), 0), (Decimal("1"), None), (Decimal("1"), 3)], "n decimal(18,2), d int")
     got = [r[0] for r in df.select(measures.ratio("n", "d", 2)).collect()]
     assert got == [Decimal("50.01"), Decimal("-50.01"), None, None, Decimal("0.33")]
+    close = spark.createDataFrame(
+        [(Decimal("1234499999999.99"), Decimal("10000000000000.00")), (Decimal("-9999999999999999.99"), Decimal("0.01")), (Decimal("0.00"), Decimal("-3"))],
+        "n decimal(18,2), d decimal(18,2)",
+    )
+    got = [r[0] for r in close.select(measures.ratio("n", "d", 4)).collect()]
+    assert got == [Decimal("0.1234"), Decimal("-999999999999999999"), Decimal("0")]
 
 
 def test_margins(spark):

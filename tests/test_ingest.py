@@ -1,3 +1,4 @@
+import dataclasses
 import datetime as dt
 import pathlib
 
@@ -116,15 +117,31 @@ def test_one_bad_extract_does_not_stop_the_others(spark, lake):
     lake.land("source_erp/LOC_A101.csv", "CID,CNTRY\nAW-1,US\nAW-2,DE\n")
     lake.land("source_erp/PX_CAT_G1V2.csv", "ID,CAT,SUBCAT,MAINTENANCE\nAC_BR,A,B,Yes")  # no final newline
     loads = bronze.ingest_all(spark, lake.landing, lake.bronze, "erp", batch_id="b1")
-    assert sorted((x.table, x.row_count) for x in loads) == [("erp_loc_a101", 2), ("erp_px_cat_g1v2", 1)]
+    assert sorted((x.table, x.row_count) for x in loads) == [("erp_cust_az12", 0), ("erp_loc_a101", 2), ("erp_px_cat_g1v2", 1)]
     log = bronze.read_log(spark, lake.bronze, "ingest_quarantine").collect()
     assert [(r._source_table, r._source_file) for r in log] == [("erp_cust_az12", "CUST_AZ12*.csv")]
     audit = bronze.read_log(spark, lake.bronze, "ingest_audit")
     assert [tuple(r) for r in bronze.audit_totals(audit, "b1").collect()] == [("erp", 3)]
-    bronze.assert_loaded(loads)
-    again = bronze.ingest_all(spark, lake.landing, lake.bronze, "erp", batch_id="b2")
-    with pytest.raises(bronze.EmptyLoadError):
-        bronze.assert_loaded(again)
+    with pytest.raises(bronze.EmptyLoadError, match="erp_cust_az12"):
+        bronze.assert_loaded(loads)
+    lake.land("source_erp/CUST_AZ12.csv", "CID,BDATE,GEN\nNASA1,1970-01-01,F\n")
+    bronze.assert_loaded(bronze.ingest_all(spark, lake.landing, lake.bronze, "erp", batch_id="b2"))
+    bronze.assert_loaded(bronze.ingest_all(spark, lake.landing, lake.bronze, "erp", batch_id="b3"))  # nothing new
+
+
+def test_gate_sees_a_refused_file(lake):
+    lake.land("source_erp/LOC_A101.csv", "CID\nAW-1\n")
+    refused = lake.load()
+    assert "missing required column(s): CNTRY" in refused.problem
+    with pytest.raises(bronze.EmptyLoadError, match="CNTRY"):
+        bronze.assert_loaded([refused])
+
+
+def test_line_break_inside_quotes(lake):
+    spec = dataclasses.replace(GEO, multi_line=True)
+    lake.land("source_erp/LOC_A101.csv", 'CID,CNTRY\nAW-1,"a\nb"\nAW-2,DE\n')
+    assert lake.load(spec).rescued_row_count == 0
+    assert lake.rows() == [("AW-1", "a\nb"), ("AW-2", "DE")]
 
 
 def test_summary(spark, lake):

@@ -1,6 +1,7 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from silverlode.operators import dedup, ordering, reject, scd, sequence
@@ -65,9 +66,8 @@ def _versions(spark):
     )
 
 
-@pytest.mark.parametrize("hot_rows", [sequence.HOT_ROWS, 0])
-def test_scd2(spark, rows, hot_rows):
-    got = scd.scd2(_versions(spark), "k", "start", "id", hot_rows)
+def test_scd2(spark, rows):
+    got = scd.scd2(_versions(spark), "k", "start", "id")
     end = D(9999, 12, 31)
     assert rows(got, "k", "version_number", "valid_from_date", "valid_to_date", "is_current", "version_count") == [
         ("p", 1, D(2011, 7, 1), D(2012, 6, 30), False, 3),
@@ -86,11 +86,26 @@ def test_scd2_of_a_hot_key_equals_the_plain_window(spark, rows):
         "id",
         F.date_add(F.lit(D(2000, 1, 1)), (F.col("id") % 700).cast("int")).alias("start"),
     )
-    assert sequence.hot_keys(df, "k", 1000) == ["hot"]
-    spread = scd.scd2(df, "k", "start", "id", hot_rows=1000)
-    plain = scd.scd2(df, "k", "start", "id")
-    assert sorted(spread.columns) == sorted(plain.columns)
-    assert rows(spread.select(plain.columns)) == rows(plain)
+    by_key = W.partitionBy("k")
+    plain = df.select(
+        "*",
+        F.row_number().over(by_key.orderBy("start", "id")).alias("n"),
+        F.count("id").over(by_key).alias("c"),
+        F.lead("start").over(by_key.orderBy("start", "id")).alias("x"),
+    )
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        spread = sequence.number_in_key(df, "k", ["start", "id"], "n", "c", ("start", "x"))
+        assert rows(spread.select(plain.columns)) == rows(plain)
+        ranges = sequence.sorted_ranges(df, "k", ["start", "id"]).groupBy("_seq_part", "k").count()
+        of_hot = [r["count"] for r in ranges.filter("k = 'hot'").collect()]
+        assert len(of_hot) >= 5 and max(of_hot) < 1500 and sum(of_hot) == 4000
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_history_of_no_rows(spark):
+    assert scd.scd2(_versions(spark).limit(0), "k", "start", "id").count() == 0
 
 
 def test_scd2_tiles_the_timeline(spark):
@@ -100,10 +115,13 @@ def test_scd2_tiles_the_timeline(spark):
             assert a.valid_to_date + dt.timedelta(days=1) == b.valid_from_date
 
 
-def _ranked(spark, n, one_task_rows):
-    df = spark.range(n).select(
+def _values(spark, n):
+    return spark.range(n).select(
         "id", (F.col("id") * 7919 % 13).cast("int").alias("v"), F.when(F.col("id") % 5 != 0, F.col("id") % 11).alias("w")
     )
+
+
+def _ranked(df):
     by = ordering.Ordering(
         [F.desc_nulls_last("v"), F.asc_nulls_last("id")],
         row_number="rn",
@@ -112,12 +130,27 @@ def _ranked(spark, n, one_task_rows):
         running_sum={"so_far": "w"},
         total={"all_of_it": "w"},
     )
-    return ordering.rank_globally(df, by, one_task_rows=one_task_rows)
+    return ordering.rank_globally(df, by)
+
+
+def _in_one_task(df):
+    """The same by windows over the whole table."""
+    along = W.orderBy(F.desc_nulls_last("v"), F.asc_nulls_last("id"))
+    return df.select(
+        "*",
+        F.row_number().over(along).alias("rn"),
+        F.ntile(5).over(along).alias("five"),
+        F.ntile(1000).over(along).alias("many"),
+        F.dense_rank().over(W.orderBy(F.desc_nulls_last("v"))).alias("dense"),
+        F.sum("w").over(along.rowsBetween(W.unboundedPreceding, W.currentRow)).alias("so_far"),
+        F.sum("w").over(W.partitionBy()).alias("all_of_it"),
+    )
 
 
 @pytest.mark.parametrize("n", [1, 7, 5003])
 def test_distributed_order_equals_single_task_windows(spark, rows, n):
-    assert rows(_ranked(spark, n, 0)) == rows(_ranked(spark, n, 10**9))
+    plain = _in_one_task(_values(spark, n))
+    assert rows(_ranked(_values(spark, n)).select(plain.columns)) == rows(plain)
 
 
 def test_distributed_order_uses_several_partitions(spark):
@@ -125,7 +158,7 @@ def test_distributed_order_uses_several_partitions(spark):
     by = ordering.Ordering([F.asc("v"), F.asc("id")], row_number="rn", dense_rank={"dense": "v"})
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        got = ordering.rank_globally(df, by, one_task_rows=0)
+        got = ordering.rank_globally(df, by)
         assert [(r.rn, r.dense) for r in got.orderBy("id").collect()] == [(i + 1, 1) for i in range(5000)]
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
@@ -133,11 +166,10 @@ def test_distributed_order_uses_several_partitions(spark):
 
 def test_ntile_of_seven(spark):
     df = spark.range(7)
-    for limit in (0, 100):
-        got = ordering.rank_globally(df, ordering.Ordering([F.asc("id")], ntile={"t": 5}), one_task_rows=limit)
-        assert [r.t for r in got.orderBy("id").collect()] == [1, 1, 2, 2, 3, 4, 5]
+    got = ordering.rank_globally(df, ordering.Ordering([F.asc("id")], ntile={"t": 5}))
+    assert [r.t for r in got.orderBy("id").collect()] == [1, 1, 2, 2, 3, 4, 5]
 
 
 def test_empty_input(spark):
     df = spark.range(0)
-    assert ordering.rank_globally(df, ordering.Ordering([F.asc("id")], row_number="rn"), one_task_rows=0).count() == 0
+    assert ordering.rank_globally(df, ordering.Ordering([F.asc("id")], row_number="rn")).count() == 0

@@ -35,6 +35,8 @@ def test_run_checks_reports_stores_and_stops(spark):
         q.run_checks({"t": (df, q.unique("a"))}, store)
     assert spark.read.parquet(f"{store}/t__unique_a").collect()[0].row_count == 2
     assert q.run_checks({"t": (df, q.unique("a"))}, stop_on_error=False)[0]["status"] == "error"
+    q.run_checks({"t": (df.dropDuplicates(["a"]), q.unique("a"))}, store)
+    assert spark.read.parquet(f"{store}/t__unique_a").count() == 0
 
 
 @pytest.mark.parametrize("hours,status", [(23, "pass"), (24, "pass"), (25, "warn"), (72, "warn"), (73, "error")])

@@ -17,7 +17,7 @@ def duck():
 
 
 def test_every_query_has_sql():
-    assert set(registry.queries()) == set(registry.oracle_sql())
+    assert set(QUERIES) <= set(registry.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
