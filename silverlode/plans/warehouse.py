@@ -200,11 +200,17 @@ def check(
 ) -> list[dict]:
     """All declared checks; offending rows land in the ``checks`` layer.
 
-    Several checks read the cleaned sales, so their columns are stored once instead of being parsed
-    from raw text each time.
+    Several checks read each cleaned table and the enriched sales, so these are stored once instead of
+    being parsed and deduplicated from raw text each time.
     """
     clean = Silver(raw)
-    clean.sales = stash(clean.sales.drop(*staging.BRONZE_COLUMNS), "checked-sales")
+    for name in ("customers", "products", "sales", "attributes", "geography", "categories"):
+        setattr(clean, name, stash(getattr(clean, name), f"checked-{name}"))
+    customers = stash(conformed_customers(clean, settings), "checked-conformed")
+    current = conform.current_products(clean.products)
+    lookup = stash(conform.product_lookup(current, clean.categories), "checked-lookup")
+    enriched = stash(conform.enrich_sales(clean.sales, customers, lookup), "checked-enriched")
     tables = checks.source_checks(raw) | checks.silver_checks(clean, raw, settings)
+    tables |= checks.conformed_checks(customers, current, enriched)
     tables |= checks.gold_checks(stored, clean) | checks.mart_checks(stored)
     return run_checks(tables, settings.layer("checks"), stop_on_error)
