@@ -7,13 +7,15 @@ two neighbours share adapts to the region by itself. Orders are range-partitione
 a region of any size spreads over tasks; rows at the borders of the ranges meet in a further step.
 
 Candidates with similar sketches are confirmed in rounds: first the most similar of each class, then what
-is left between different components, then neighbours further off that are still in different components.
+is left between different components, then neighbours further off that are still in different components;
+those must look similar by a finer sketch too, which only classes with candidates have.
 Components are found by hooking and pointer jumping on tables, never on the driver.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -43,13 +45,35 @@ class NearDedupPlan:
     close: int = 1
     #: Equal quarter-bytes of two signatures that make a candidate: a link of 80 per cent has fewer once in a million.
     least_equal: int = 36
+    #: More values for the classes that have candidates; pairs of neighbours further off must pass these as well.
+    fine: int = 256
     seed: int = 7
 
 
-def _seeds(plan: NearDedupPlan) -> tuple[np.ndarray, np.ndarray]:
-    random = np.random.Generator(np.random.PCG64(plan.seed))
-    a = random.integers(0, 1 << 63, plan.values, np.uint64) * np.uint64(2) + np.uint64(1)
-    return a[:, None], random.integers(0, 1 << 63, plan.values, np.uint64)[:, None]
+def least_equal(values: int, percent: int, miss: float = 1e-6) -> int:
+    """The number of equal quarter-bytes that a link has in all but ``miss`` of the cases: a binomial tail."""
+    p = percent / 100 + (1 - percent / 100) / 16
+    if p >= 1:
+        return values
+    below = 0.0
+    for k in range(values + 1):
+        ways = math.lgamma(values + 1) - math.lgamma(k + 1) - math.lgamma(values - k + 1)
+        below += math.exp(ways + k * math.log(p) + (values - k) * math.log1p(-p))
+        if below > miss:
+            return k
+    return values
+
+
+def _seeds(seed: int, values: int) -> tuple[np.ndarray, np.ndarray]:
+    random = np.random.Generator(np.random.PCG64(seed))
+    a = random.integers(0, 1 << 63, values, np.uint64) * np.uint64(2) + np.uint64(1)
+    return a[:, None], random.integers(0, 1 << 63, values, np.uint64)[:, None]
+
+
+def _sketch(values: np.ndarray) -> np.ndarray:
+    """Four bits of each value, two values in a byte."""
+    nibbles = (values & 15).astype(np.uint8)
+    return nibbles[..., ::2] | (nibbles[..., 1::2] << 4)
 
 
 def signature(shingles: np.ndarray, seeds: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
@@ -86,7 +110,7 @@ def signatures(rows: DataFrame, plan: NearDedupPlan) -> DataFrame:
     """(id, key, n_shingles, class, signature) of each row of ``id``, ``key`` and ``text``; null class without words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seeds = _seeds(plan)
+        seeds = _seeds(plan.seed, plan.values)
         for batch in slices(batches):
             sets = shingle_sets(words_of(_binary(batch.column("text")), SOLID), plan.shingle)
             yield pa.RecordBatch.from_pydict(
@@ -106,17 +130,18 @@ def signatures(rows: DataFrame, plan: NearDedupPlan) -> DataFrame:
 def forest(classes: DataFrame, plan: NearDedupPlan) -> DataFrame:
     """A row per class and tree: (tree, order, class, sketch, label).
 
-    ``order`` holds the tree's values so that bytes sort as they do; ``sketch`` four bits of every value.
+    ``order`` holds the tree's values so that bytes sort as they do; ``sketch`` four bits of every value,
+    and after them the column ``fine`` if the classes have one.
     """
     step = plan.values // plan.trees
+    fine = F.col("fine") if "fine" in classes.columns else F.lit(b"")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n = batch.num_rows
             values = np.frombuffer(b"".join(batch.column("signature").to_pylist()), "<u4").reshape(n, plan.values)
-            nibbles = (values & 15).astype(np.uint8)
-            sketch = nibbles[:, ::2] | (nibbles[:, 1::2] << 4)
-            sketches = pa.array([x.tobytes() for x in sketch], pa.binary())
+            more = batch.column("fine").to_pylist()
+            sketches = pa.array([x.tobytes() + y for x, y in zip(_sketch(values), more, strict=True)], pa.binary())
             for tree in range(plan.trees):
                 picked = [(tree * step + k) % plan.values for k in range(plan.depth)]
                 order = np.ascontiguousarray(values[:, picked].astype(">u4"))
@@ -130,7 +155,7 @@ def forest(classes: DataFrame, plan: NearDedupPlan) -> DataFrame:
                     }
                 )
 
-    return classes.select("class", "signature", "label").mapInArrow(
+    return classes.select("class", "signature", "label", fine.alias("fine")).mapInArrow(
         run, "tree int, order binary, class binary, sketch binary, label binary"
     )
 
@@ -142,14 +167,17 @@ def _matrix(column: pa.Array, width: int) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), width)
 
 
-def _neighbours(plan: NearDedupPlan, emit: int, borders: bool):
+def _neighbours(plan: NearDedupPlan, emit: int, borders: bool, fine: bool):
     """A function over sorted batches that finds pairs of neighbours with different labels and similar sketches.
 
     Pairs at most ``emit`` rows apart come out as (a, b, equal); of those further off, up to ``reach``, only
     the classes (b null). ``borders`` adds the first and last ``reach`` rows of the partition, whole.
+    ``fine``: the sketches hold the finer values too, and pairs must pass both bounds.
     """
     zeros = np.array([(x & 15 == 0) + (x >> 4 == 0) for x in range(256)], np.uint8)
     least = 4 * plan.least_depth
+    coarse = plan.values // 2
+    least_all = least_equal(plan.values + plan.fine, plan.percent)
 
     def found(a: pa.Array, b: pa.Array | None, equal: np.ndarray | None, rows: pa.RecordBatch | None = None) -> pa.RecordBatch:
         n = len(a)
@@ -175,7 +203,7 @@ def _neighbours(plan: NearDedupPlan, emit: int, borders: bool):
             old = 0 if tail is None else tail.num_rows
             n = rows.num_rows
             order = _matrix(rows.column("order"), 4 * plan.depth)
-            sketch = _matrix(rows.column("sketch"), plan.values // 2)
+            sketch = _matrix(rows.column("sketch"), coarse + (plan.fine // 2 if fine else 0))
             tree = rows.column("tree").to_numpy()
             label = _matrix(rows.column("label"), 16)
             active = np.zeros(n, bool)
@@ -187,9 +215,13 @@ def _neighbours(plan: NearDedupPlan, emit: int, borders: bool):
                 if not len(later):
                     break
                 later = later[(label[later] != label[later - apart]).any(axis=1)]
-                equal = zeros[sketch[later] ^ sketch[later - apart]].sum(axis=1, dtype=np.int32)
+                equal = zeros[sketch[later, :coarse] ^ sketch[later - apart, :coarse]].sum(axis=1, dtype=np.int32)
                 close = equal >= plan.least_equal
                 later, equal = later[close], equal[close]
+                if fine and len(later):
+                    more = zeros[sketch[later, coarse:] ^ sketch[later - apart, coarse:]].sum(axis=1, dtype=np.int32)
+                    close = equal + more >= least_all
+                    later, equal = later[close], equal[close]
                 if apart <= emit and len(later):
                     one = rows.column("class").take(pa.array(later))
                     other = rows.column("class").take(pa.array(later - apart))
@@ -211,12 +243,13 @@ def _neighbours(plan: NearDedupPlan, emit: int, borders: bool):
 
 def neighbours(classes: DataFrame, plan: NearDedupPlan, emit: int) -> tuple[DataFrame, DataFrame]:
     """Candidate pairs (a, b, equal), and every class that has a candidate within reach."""
+    fine = "fine" in classes.columns
     sorted_ = forest(classes, plan).repartitionByRange("tree", "order", "class").sortWithinPartitions("tree", "order", "class")
-    found = stash(sorted_.mapInArrow(_neighbours(plan, emit, True), _FOUND), "forest-neighbours")
+    found = stash(sorted_.mapInArrow(_neighbours(plan, emit, True, fine), _FOUND), "forest-neighbours")
     # At most twice the reach for each range: one task sorts them.
     borders = found.filter("tree is not null").select("tree", "order", F.col("a").alias("class"), "sketch", "label").distinct()
     ordered = borders.repartition(1).sortWithinPartitions("tree", "order", "class")
-    across = ordered.mapInArrow(_neighbours(plan, emit, False), _FOUND)
+    across = ordered.mapInArrow(_neighbours(plan, emit, False, fine), _FOUND)
     both = found.filter("tree is null").unionByName(across).select("a", "b", "equal")
     pairs = stash(both.groupBy("a", "b").agg(F.max("equal").alias("equal")), "forest-pairs")
     active = pairs.select(F.col("a").alias("class")).union(pairs.filter("b is not null").select("b")).distinct()
@@ -224,16 +257,21 @@ def neighbours(classes: DataFrame, plan: NearDedupPlan, emit: int) -> tuple[Data
 
 
 def full_sets(rows: DataFrame, plan: NearDedupPlan) -> DataFrame:
-    """(class, shingles) of each row of ``class`` and ``text``."""
+    """(class, shingles, fine) of each row of ``class`` and ``text``; ``fine`` is a sketch of further values."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seeds = _seeds(plan.seed + 1, plan.fine)
         for batch in slices(batches):
             sets = shingle_sets(words_of(_binary(batch.column("text")), SOLID), plan.shingle)
             yield pa.RecordBatch.from_pydict(
-                {"class": batch.column("class"), "shingles": pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))}
+                {
+                    "class": batch.column("class"),
+                    "shingles": pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64())),
+                    "fine": pa.array([_sketch(signature(s, seeds)).tobytes() for s in sets], pa.binary()),
+                }
             )
 
-    return rows.select("class", "text").mapInArrow(run, "class binary, shingles array<bigint>")
+    return rows.select("class", "text").mapInArrow(run, "class binary, shingles array<bigint>, fine binary")
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, plan: NearDedupPlan) -> DataFrame:
@@ -325,7 +363,8 @@ def near_duplicates(
     labels = chosen.select("class", F.col("class").alias("label"))
     labels = _merged(labels, stash(confirmed(_best(pairs), sets, plan), "links"))
     labels = _merged(labels, stash(confirmed(_between(pairs, labels), sets, plan), "links"))
-    further, _ = neighbours(chosen.join(labels, "class"), plan, plan.reach)
+    fine = sets.select("class", "fine")
+    further, _ = neighbours(chosen.join(labels, "class").join(fine, "class"), plan, plan.reach)
     labels = _merged(labels, stash(confirmed(further, sets, plan), "links"))
 
     labelled = classes.select("class", "id").join(labels, "class", "left").select("class", "id", F.coalesce("label", "class").alias("label"))
