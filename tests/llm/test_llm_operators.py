@@ -7,6 +7,7 @@ import random
 import re
 import zlib
 
+import numpy as np
 import pytest
 
 pytest.importorskip("silverlode.llm.registry")
@@ -378,6 +379,22 @@ def test_near_duplicates_match_brute_force(docs, empty, size):
     assert near_dedup.near_duplicates(empty).count() == 0
 
 
+def test_sketches_pass_links_and_stop_others():
+    plan = near_dedup.NearDedupPlan()
+    seeds = near_dedup._seeds(plan.seed + 1, plan.values + plan.fine)
+    rng = np.random.default_rng(3)
+    bound = near_dedup.least_equal(plan.values + plan.fine, plan.percent)
+
+    def equal(common, own):
+        base = rng.integers(0, 1 << 63, common + 2 * own, np.uint64)
+        one, other = (near_dedup.signature(x, seeds) & 15 for x in (base[: common + own], np.delete(base, slice(common, common + own))))
+        return int((one == other).sum())
+
+    assert all(equal(160, 20) >= bound for _ in range(200))
+    assert all(equal(100, 50) < bound for _ in range(200))
+    assert near_dedup.least_equal(64, 100) == 64
+
+
 def test_long_chains_become_one_component(spark):
     edges = [(n.to_bytes(16, "big"), (n + 1).to_bytes(16, "big")) for n in range(60)] + [(b"x" * 16, b"y" * 16)]
     labels = near_dedup.components(spark.createDataFrame(edges, "a binary, b binary")).collect()
