@@ -8,7 +8,9 @@ a region of any size spreads over tasks; rows at the borders of the ranges meet
 
 Candidates with similar sketches are confirmed in rounds: first the most similar of each class, then what
 is left between different components, then neighbours further off that are still in different components;
-those must look similar by a finer sketch too, which only classes with candidates have.
+those must look similar by a finer sketch too, which only classes with candidates have. Regions (rows of an
+order that share its least depth) longer than the reach are then compared whole: cut into blocks, every pair
+of blocks in a group of its own, every pair of different components by its full sets.
 Components are found by hooking and pointer jumping on tables, never on the driver.
 """
 
@@ -40,7 +42,8 @@ class NearDedupPlan:
     #: Values in a tree's order, and how many of them neighbours share at least.
     depth: int = 6
     least_depth: int = 3
-    #: Rows of an order that are compared with those after them; the next ones are candidates at once.
+    #: Rows of an order that are compared with those after them; the next ones are candidates at once. Longer
+    #: regions are compared whole afterwards, in blocks of about so many rows and bytes of full sets.
     reach: int = 32
     close: int = 1
     #: Equal quarter-bytes of two signatures that make a candidate: a link of 80 per cent has fewer once in a million.
@@ -48,6 +51,8 @@ class NearDedupPlan:
     #: More values for the classes that have candidates; pairs of neighbours further off must pass these as well.
     fine: int = 256
     seed: int = 7
+    block_rows: int = 2048
+    block_bytes: int = 16 << 20
 
 
 def least_equal(values: int, percent: int, miss: float = 1e-6) -> int:
@@ -289,6 +294,75 @@ def confirmed(pairs: DataFrame, sets: DataFrame, plan: NearDedupPlan) -> DataFra
     )
 
 
+def crowded(classes: DataFrame, plan: NearDedupPlan) -> DataFrame:
+    """(tree, start, class, label) of the regions with more rows than ``reach`` compares and with different labels."""
+    start = F.substring(F.col("order"), 1, 4 * plan.least_depth).alias("start")
+    rows = forest(classes, plan).select("tree", start, "class", "label")
+    sizes = rows.groupBy("tree", "start").agg(F.count("*").alias("n"), F.min("label").alias("low"), F.max("label").alias("high"))
+    return rows.join(sizes.filter((F.col("n") > plan.reach + 1) & (F.col("low") != F.col("high"))).select("tree", "start"), ["tree", "start"])
+
+
+def _linked(plan: NearDedupPlan):
+    """A function over the rows of two blocks (or of one): links that join their labels, by full sets.
+
+    Rows are taken by size, each with the larger ones that the bound allows. Pairs that earlier links join are
+    left out, and with two blocks the pairs inside one, which meet in the group of that block alone.
+    """
+
+    def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        two = key[2].as_py() != key[3].as_py()
+        shingles = table.column("shingles").combine_chunks()
+        sizes = shingles.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+        by_size = np.argsort(sizes, kind="stable")
+        table = table.select(["class", "label", "block"]).take(pa.array(by_size))
+        ids = np.unique(shingles.take(pa.array(by_size)).flatten().to_numpy(zero_copy_only=False), return_inverse=True)[1]
+        sizes = sizes[by_size]
+        ends = np.cumsum(sizes)
+        label = np.unique(_matrix(table.column("label").combine_chunks(), 16), axis=0, return_inverse=True)[1].reshape(-1)
+        block = table.column("block").to_numpy()
+        tops = np.searchsorted(sizes, sizes * 100 // plan.percent, "right")
+        mark = np.zeros(len(ids) and ids.max() + 1, np.int32)
+        one, other = [], []
+        for x, top in enumerate(tops):
+            fits = label[x + 1 : top] != label[x]
+            if two:
+                fits &= block[x + 1 : top] != block[x]
+            later = x + 1 + np.flatnonzero(fits)
+            if not len(later):
+                continue
+            mine = ids[ends[x] - sizes[x] : ends[x]]
+            mark[mine] = 1
+            starts = np.cumsum(sizes[later]) - sizes[later]
+            if len(later) == top - x - 1:
+                theirs = ids[ends[x] : ends[top - 1]]
+            else:
+                theirs = ids[np.repeat(ends[later] - sizes[later] - starts, sizes[later]) + np.arange(sizes[later].sum())]
+            common = np.add.reduceat(mark[theirs], starts).astype(np.int64)
+            mark[mine] = 0
+            for y in later[common * 100 >= (sizes[x] + sizes[later] - common) * plan.percent]:
+                if label[y] != label[x]:
+                    label[label == label[y]] = label[x]
+                    one.append(x)
+                    other.append(y)
+        names = table.column("class")
+        return pa.table({"a": names.take(pa.array(one, pa.int64())), "b": names.take(pa.array(other, pa.int64()))})
+
+    return run
+
+
+def crowded_links(regions: DataFrame, sets: DataFrame, plan: NearDedupPlan) -> DataFrame:
+    """Links (a, b) that join all labels which links inside one of the ``regions`` join: no pair is left out."""
+    held = regions.join(sets.select("class", "shingles"), "class")
+    weights = regions.join(sets.select("class", (F.size("shingles") * F.lit(8)).cast("bigint").alias("bytes")), "class")
+    blocks = F.greatest(F.ceil(F.count("*") / plan.block_rows), F.ceil(F.sum("bytes") / plan.block_bytes)).cast("int")
+    cuts = weights.groupBy("tree", "start").agg(blocks.alias("blocks"))
+    dealt = held.join(cuts, ["tree", "start"]).withColumn("block", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int"))
+    pairs = dealt.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+        "tree", "start", F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"), "block", "class", "label", "shingles"
+    )
+    return pairs.groupBy("tree", "start", "i", "j").applyInArrow(_linked(plan), "a binary, b binary").distinct()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(class, label) for each end of the edges (a, b): the least class of its component.
 
@@ -356,7 +430,9 @@ def near_duplicates(
         "set-classes",
     )
     pairs, active = neighbours(classes.select("class", "signature", F.col("class").alias("label")), plan, plan.close)
-    chosen = stash(classes.join(active, "class").select("class", "key", "signature"), "near-classes")
+    # The neighbours of a class in a long region may all differ while one beyond them is a link.
+    crowds = crowded(classes.select("class", "signature", F.col("class").alias("label")), plan).select("class")
+    chosen = stash(classes.join(active.union(crowds).distinct(), "class").select("class", "key", "signature"), "near-classes")
     members = rows.join(chosen.select("class", "key"), "key").dropDuplicates(["class"])
     sets = stash(full_sets(members, plan), "full-sets")
 
@@ -366,6 +442,8 @@ def near_duplicates(
     fine = sets.select("class", "fine")
     further, _ = neighbours(chosen.join(labels, "class").join(fine, "class"), plan, plan.reach)
     labels = _merged(labels, stash(confirmed(further, sets, plan), "links"))
+    regions = stash(crowded(chosen.join(labels, "class"), plan), "long-regions")
+    labels = _merged(labels, stash(crowded_links(regions, sets, plan), "links"))
 
     labelled = classes.select("class", "id").join(labels, "class", "left").select("class", "id", F.coalesce("label", "class").alias("label"))
     least = labelled.groupBy("label").agg(F.min("id").alias("component_id"))

@@ -379,6 +379,44 @@ def test_near_duplicates_match_brute_force(docs, empty, size):
     assert near_dedup.near_duplicates(empty).count() == 0
 
 
+def test_long_regions_are_compared_whole(spark):
+    """A star whose copies are linked with its original only, a dense region around it, and a second star cut into blocks."""
+    source, words = random.Random(11), vocabulary(3000, 9)
+    rows = []
+    for star, edits in ((0, 5), (1, 5)):
+        base = source.sample(words, 101)
+        rows.append(base)
+        for _ in range(1500 if not star else 300):
+            copy = list(base)
+            for at in source.sample(range(1, 100, 3), edits):
+                copy[at] = source.choice(words)
+            rows.append(copy)
+    dense = source.sample(words, 101)
+    for n in range(200):
+        copy = list(dense)
+        for at in range(n % 20, n % 20 + 3):
+            copy[at] = source.choice(words)
+        rows.append(copy)
+    sets = [{(a, b) for a, b in zip(w, w[1:], strict=False)} for w in rows]
+    places = {x: n for n, x in enumerate(sorted(set().union(*sets)))}
+    holds = np.zeros((len(rows), len(places)), np.float32)
+    for n, s in enumerate(sets):
+        holds[n, [places[x] for x in s]] = 1
+    common = holds @ holds.T
+    sizes = holds.sum(axis=1)
+    link = 100 * common >= 80 * (sizes[:, None] + sizes - common)
+    assert np.median(link[1:1501, 1:1501].sum(axis=1)) <= 60 and link[0, :1501].mean() > 0.9
+    least = np.arange(len(rows))
+    while True:
+        fresh = np.where(link, least, len(rows)).min(axis=1)
+        if (fresh == least).all():
+            break
+        least = fresh
+    frame = spark.createDataFrame([(n, " ".join(w)) for n, w in enumerate(rows)], "doc_id bigint, text string").repartition(5)
+    got = near_dedup.near_duplicates(frame, near_dedup.NearDedupPlan(block_rows=300)).collect()
+    assert {r.doc_id: r.component_id for r in got} == dict(enumerate(least.tolist()))
+
+
 def test_sketches_pass_links_and_stop_others():
     plan = near_dedup.NearDedupPlan()
     seeds = near_dedup._seeds(plan.seed + 1, plan.values + plan.fine)
