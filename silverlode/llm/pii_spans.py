@@ -47,6 +47,14 @@ _WORDED = re.compile(
     r"(?P<rest>(?: +dot +[A-Za-z0-9-]+)+)(?![A-Za-z0-9-])"
 )
 _WORDED_DOT = re.compile(r"(?i) +dot +")
+#: "name at host.com": the last part of the host has letters only.
+_WORDED_AT = re.compile(
+    r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]+(?P<at> +(?i:at) +)(?=(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}(?![A-Za-z0-9-]))"
+)
+#: "10 dot 0 dot 0 dot 1".
+_NUMBER_DOT = re.compile(r"(?i)(?<=[0-9]) +dot +(?=[0-9])")
+#: In lower case, every text that one of the five patterns above rewrites matches this.
+_SIGN_HINT = re.compile(r"[\[({<] *(?:at|@|dot|\.) *[\])}>]| dot | at +[a-z0-9-]+\.[a-z0-9-]")
 #: Characters that may be look-alikes: other scripts, full-width forms, invisible ones, styled letters and digits.
 _STRANGE = re.compile(f"[{INVISIBLE}Ͱ-ԯ٠-٩۰-۹०-९․！-～\U0001d400-\U0001d7ff]")
 
@@ -149,7 +157,7 @@ def disguised(text: str) -> list[tuple[str, int, int]]:
     """Identifiers that only show after rewriting: (kind, start, end) in the source text."""
     strange = not text.isascii() and _STRANGE.search(text)
     lower = text.lower()
-    dotted = "dot" in lower or "[at]" in lower or "(at)" in lower or "[.]" in lower or "(.)" in lower or "[@]" in lower
+    dotted = _SIGN_HINT.search(lower)
     spelled = _SPELLED_HINT.search(lower)
     if not (strange or dotted or spelled):
         return []
@@ -160,6 +168,8 @@ def disguised(text: str) -> list[tuple[str, int, int]]:
     traced.replace(_AT, lambda m: [(m.start(), m.end(), "@")])
     traced.replace(_DOT, lambda m: [(m.start(), m.end(), ".")])
     traced.replace(_WORDED, _worded)
+    traced.replace(_WORDED_AT, lambda m: [(m.start("at"), m.end("at"), "@")])
+    traced.replace(_NUMBER_DOT, lambda m: [(m.start(), m.end(), ".")])
     if not any(traced.changed):
         return []
     return [

@@ -244,6 +244,26 @@ def test_disguised_personal_data_maps_back():
     assert pii_spans.spans_of(None) == []
 
 
+def test_every_rewritten_sign_is_found_without_other_words():
+    for left, right in ("[]", "()", "{}", "<>"):
+        for at in ("at", "AT", "@", " at ", "  @ "):
+            text = f"to bob {left}{at}{right} mail.com, soon"
+            assert [text[s["start"] : s["end"]] for s in pii_spans.spans_of(text)] == [text[3:-6]], text
+        for dot in ("dot", "Dot", ".", " dot ", " .  "):
+            for text, kind in ((f"bob@mail{left}{dot}{right}com", "email"), (f"10.0.0{left}{dot}{right}1", "ip")):
+                assert (kind, 0, len(text)) in [(s["kind"], s["start"], s["end"]) for s in pii_spans.spans_of(text)], text
+    cases = {
+        "ask ann at mail.com or": [("email", "ann at mail.com")],
+        "ask ann AT  mail.example.com.": [("email", "ann AT  mail.example.com")],
+        "at 10 dot 0 dot 0 dot 1 now": [("ip", "10 dot 0 dot 0 dot 1")],
+        "10.0 dot 0.1": [("ip", "10.0 dot 0.1")],
+        "300 dot 0 dot 0 dot 1": [],
+        "we met at 10.30 and at home. Then 3.5 dot 2": [],
+    }
+    for text, expected in cases.items():
+        assert [(s["kind"], text[s["start"] : s["end"]]) for s in pii_spans.spans_of(text)] == expected, text
+
+
 def test_personal_data_over_a_table(docs, empty):
     found = pii_spans.findings(pii_spans.find_pii(docs))
     assert found.count() == len(texts()) and found.filter("n_email + n_ip + n_card + n_phone > 0").count() == 0
