@@ -55,6 +55,14 @@ def split_url(url: Column) -> tuple[Column, Column]:
     return ascii_lower(F.regexp_extract(given, pattern, 1)), F.regexp_extract(given, pattern, 2)
 
 
+def model_text(url: Column) -> Column:
+    """What the models read: the whole URL, with its host in lower case; empty for a null."""
+    given = F.coalesce(url, F.lit(""))
+    pattern = r"(?s)^(.*?://)([^/?#]*)(.*)$"
+    parts = [F.regexp_extract(given, pattern, n) for n in (1, 2, 3)]
+    return F.when(given.contains("://"), F.concat(parts[0], ascii_lower(parts[1]), parts[2])).otherwise(given)
+
+
 def match_rules(host: Column, path: Column, rules: Sequence[UrlRule]) -> Column:
     """The longest fitting rule as a struct of text and verdict, or null. Ties go to the first listed."""
     found = F.lit(None).cast("struct<text:string,verdict:string>")
@@ -130,9 +138,9 @@ def filter_urls(
     """``pages`` with a struct ``out``: host, path, rule, verdict, score and cut.
 
     The rule's verdict holds where a rule fits; elsewhere a URL is allowed if its score reaches the cut.
-    The cut is the ``lost`` quantile of the held-out accepted URLs' scores (0 if there are none). A null
-    URL, or one without ``://``, is judged by the models as an empty text. Rows that repeat are all
-    judged alike and weigh in the counts as often as they occur. Empty tables give empty results.
+    The models read the whole URL, query and fragment too, also one without ``://``; a null is an empty text.
+    The cut is the ``lost`` quantile of the held-out accepted URLs' scores (0 if there are none). Rows that
+    repeat are all judged alike and weigh in the counts as often as they occur. Empty tables give empty results.
     Only ``out`` is replaced; other columns may have any name.
     """
     spark = pages.sparkSession
@@ -148,7 +156,7 @@ def filter_urls(
 
     urls = ruled.select(
         "url", "n", "host", "path", "rule", held.alias("held"),
-        F.concat("host", "path").alias("text"), counts("allow").alias("n_a"), counts("block").alias("n_r"),
+        model_text(F.col("url")).alias("text"), counts("allow").alias("n_a"), counts("block").alias("n_r"),
     )
     scored = stash(score_urls(urls, model), "url-scores")
     accepted = scored.filter("held and rule.verdict = 'allow'")

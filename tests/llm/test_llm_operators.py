@@ -94,6 +94,18 @@ def test_urls_follow_rules_and_models(spark):
     assert url_filter.filter_urls(pages, URL_RULES).count() == len(rows) + len(odd)
 
 
+def test_url_models_read_the_whole_url(spark):
+    rows = [(n, f"http://w{n}.example.{'net/en/' if n % 2 else 'com/de/'}?cat={'wanted' if n % 2 else 'trash'}#{n}") for n in range(100)]
+    rows += [(200 + n, f"{head}{word}") for n, (head, word) in enumerate((h, w) for h in ("http://u.info/i?cat=", "http://u.info/#!/", "www.u.info/", "//u.info/?") for w in ("wanted", "trash"))]
+    rows += [(300, "HTTP://U.info/i?Cat=\nX"), (301, None), (302, ""), (303, "a://B?c://D")]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string")
+    got = {r.page_id: r.judged for r in url_filter.filter_urls(pages, URL_RULES).collect()}
+    assert all(got[n].score > got[n + 1].score for n in range(200, 208, 2))
+    assert got[301] == got[302] and (got[204].host, got[204].path, got[200].path) == ("", "", "/i")
+    read = {r.page_id: r.text for r in pages.select("page_id", url_filter.model_text(F.col("url")).alias("text")).collect()}
+    assert [read[n] for n in (300, 301, 303, 205)] == ["HTTP://u.info/i?Cat=\nX", "", "a://b?c://D", "www.u.info/trash"]
+
+
 def test_gram_scores_match_a_plain_model(spark):
     model = url_filter.UrlModel(order=2)
     seen = {"a": ["abab", "abba"], "r": ["bbbb"]}
