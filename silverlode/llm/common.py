@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -54,3 +55,20 @@ def slices(batches: Iterable[pa.RecordBatch], column: str = "text", limit: int =
         cuts = np.flatnonzero(np.diff(part, prepend=-1))
         for start, end in zip(cuts, [*cuts[1:], len(part)], strict=True):
             yield batch.slice(start, end - start)
+
+
+_SPACE = re.compile(rb"[\x20\x09-\x0D]")
+
+
+def word_blocks(text: bytes, size: int = 1 << 20) -> Iterator[list[bytes]]:
+    """The words of a UTF-8 text in order, from blocks of about ``size`` bytes that end between words.
+
+    ``bytes.split`` parts at exactly the white space of the word definition.
+    """
+    at = 0
+    while len(text) - at > size:
+        space = _SPACE.search(text, at + size)
+        stop = space.start() if space else len(text)
+        yield text[at:stop].split()
+        at = stop
+    yield (text[at:] if at else text).split()
