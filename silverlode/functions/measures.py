@@ -12,11 +12,29 @@ from silverlode.functions.text import ColumnLike, as_column
 
 
 def ratio(numerator: ColumnLike, denominator: ColumnLike, scale: int) -> Column:
-    """Quotient rounded half up, exactly; null for a null or zero divisor.
+    """Quotient rounded half up, exactly, to at most four decimals; null for a null or zero divisor.
 
-    In whole units: the remainder decides about rounding, and without it the division has no rest.
+    Operands below 10^15 with two decimals divide once: a quotient with 21 decimals is nearer to a rounding
+    border than half its last place only if it lies on it, as its divisor has at most 17 digits.
+    Larger ones are divided in whole units. That form sits behind a lambda, so it is neither compiled into
+    every query nor run where it is not needed.
     """
-    top, bottom = _hundredths(numerator), _hundredths(denominator)
+    if not 0 <= scale <= 4:
+        raise ValueError("ratio() rounds to 0 to 4 decimals")
+    top, bottom = as_column(numerator), as_column(denominator)
+    small_top, small_bottom = top.try_cast("decimal(18,3)"), bottom.try_cast("decimal(17,2)")
+    once = F.round(F.try_divide(small_top, small_bottom), scale).cast(f"decimal(38,{scale})")
+    large = F.transform(
+        F.array(F.struct(_hundredths(top).alias("top"), _hundredths(bottom).alias("bottom"))),
+        lambda x: _in_whole_units(x["top"], x["bottom"], scale),
+    )
+    return F.when(small_top.isNotNull() & small_bottom.isNotNull(), once).when(
+        top.isNotNull() & bottom.isNotNull(), large.getItem(0)
+    )
+
+
+def _in_whole_units(top: Column, bottom: Column, scale: int) -> Column:
+    """The remainder decides about rounding, and without it the division has no rest."""
     units = (F.abs(top) * 10**scale).cast("decimal(38,0)")
     rest = F.try_mod(units, F.abs(bottom))
     whole = F.try_divide(units - rest, F.abs(bottom)).cast("decimal(36,0)")
@@ -25,9 +43,9 @@ def ratio(numerator: ColumnLike, denominator: ColumnLike, scale: int) -> Column:
     return (signed * F.lit(Decimal(1).scaleb(-scale))).cast(f"decimal(38,{scale})")
 
 
-def _hundredths(c: ColumnLike) -> Column:
+def _hundredths(c: Column) -> Column:
     # 28 digits with 2 decimals hold any sum of decimal(18,2) amounts.
-    return (as_column(c).cast("decimal(28,2)") * 100).cast("decimal(28,0)")
+    return (c.cast("decimal(28,2)") * 100).cast("decimal(28,0)")
 
 
 def plain_average(total: ColumnLike, count: ColumnLike) -> Column:

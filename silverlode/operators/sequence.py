@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
@@ -22,14 +22,44 @@ def number_in_key(
     number: str,
     count: str,
     next_value: tuple[str, str],
+    heavy_rows: int = 1 << 20,
 ) -> DataFrame:
     """Adds ``number`` (1-based position), ``count`` (rows of the key) and the next row's value.
 
     ``next_value`` is ``(source column, output column)``. ``order`` ascends, nulls last, and should
-    end in a unique column; a null key is a key of its own. Rows are cut into sorted ranges of key and
-    order, so a key of any size spreads over as many tasks as it has ranges. Windows stay inside a
-    range; what a key has in other ranges comes from a table of the first and last key of each range.
+    end in a unique column; a null key is a key of its own. Keys of up to ``heavy_rows`` rows take one
+    exchange by key and a window. The rows are counted by key first, on the map side; what larger keys have
+    is cut into sorted ranges of key and order, so that a key of any size spreads over tasks.
     """
+    sizes = df.groupBy(F.col(key).alias("_heavy_key")).agg(F.count(F.lit(1)).alias("_rows"))
+    # Stored, so that its real size decides how the rows are joined to it.
+    heavy = stash(sizes.filter(F.col("_rows") > heavy_rows).select("_heavy_key"), "heavy-keys")
+    names = (number, count, next_value)
+    if heavy.isEmpty():
+        return _in_windows(df, key, order, *names)
+    same = F.col(key).eqNullSafe(F.col("_heavy_key"))
+    light = _in_windows(df.join(heavy, same, "left_anti"), key, order, *names)
+    return light.unionByName(_in_ranges(df.join(heavy, same, "left_semi"), key, order, *names))
+
+
+def _ascending(columns: Sequence[str]) -> list[Column]:
+    return [F.asc_nulls_last(c) for c in columns]
+
+
+def _in_windows(df: DataFrame, key: str, order: Sequence[str], number: str, count: str, next_value: tuple[str, str]) -> DataFrame:
+    source, output = next_value
+    along = W.partitionBy(key).orderBy(*_ascending(order))
+    return df.select(
+        *df.columns,
+        F.row_number().over(along).alias(number),
+        F.count(F.lit(1)).over(W.partitionBy(key)).alias(count),
+        F.lead(source).over(along).alias(output),
+    )
+
+
+def _in_ranges(df: DataFrame, key: str, order: Sequence[str], number: str, count: str, next_value: tuple[str, str]) -> DataFrame:
+    """The same over sorted ranges. Windows stay inside a range; what a key has in other ranges comes from
+    a table of the first and last key of each range."""
     source, output = next_value
     rows = sorted_ranges(df, key, order)
     borders = _borders(rows, key, source)
@@ -53,7 +83,7 @@ def number_in_key(
 
 def sorted_ranges(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
     """``df`` stored in ranges of key and order, with the number of the range and the place in it."""
-    by = [F.asc_nulls_last(key), *[F.asc_nulls_last(c) for c in order]]
+    by = _ascending([key, *order])
     placed = df.repartitionByRange(*by).sortWithinPartitions(*by)
     # Stored, because borders and rows must see the same ranges.
     placed = placed.withColumn(_POS, F.monotonically_increasing_id())
@@ -65,13 +95,11 @@ def _borders(rows: DataFrame, key: str, source: str) -> DataFrame:
 
     Only such keys can go on in another range. Two rows per range at most, however many keys there are.
     """
-    places = rows.groupBy(_PART).agg(F.min(_POS).alias("_low"), F.max(_POS).alias("_high"))
-    places = places.select(F.explode(F.array_distinct(F.array("_low", "_high"))).alias(_POS))
-    ends = rows.join(F.broadcast(places), _POS).select(
-        F.col(_PART).alias("_border_part"), F.col(key).alias("_border_key")
-    )
+    ends = rows.groupBy(_PART).agg(F.min_by(F.struct(key), _POS).alias("_low"), F.max_by(F.struct(key), _POS).alias("_high"))
+    ends = ends.select(F.col(_PART).alias("_border_part"), F.explode(F.array_distinct(F.array("_low", "_high"))).alias("_end"))
+    ends = ends.select("_border_part", F.col("_end")[key].alias("_border_key"))
     same = F.col(key).eqNullSafe(F.col("_border_key")) & (F.col(_PART) == F.col("_border_part"))
-    pieces = rows.join(F.broadcast(ends.distinct()), same).groupBy("_border_part", "_border_key").agg(
+    pieces = rows.join(F.broadcast(ends), same).groupBy("_border_part", "_border_key").agg(
         F.count(F.lit(1)).alias("_rows"), F.min_by(F.struct(source), _POS).alias("_first")
     )
     along = W.partitionBy("_border_key").orderBy("_border_part")

@@ -11,6 +11,7 @@ from pyspark.sql import Window as W
 from silverlode.functions.calendar import as_of_date, calendar_attributes, days_between
 from silverlode.functions.measures import first_match, plain_average, ratio
 from silverlode.operators.ordering import Ordering, rank_globally
+from silverlode.session import stash
 
 
 def _change(now: str, before: str):
@@ -182,11 +183,12 @@ def category_rollup(fact: DataFrame) -> DataFrame:
         F.sum("sales_amount").alias("gross_revenue"),
         F.sum("gross_margin").alias("gross_margin"),
     )
-    # One-row scalar subqueries over two columns of the fact; no join and no single-task window.
-    revenue = fact.agg(F.sum("sales_amount")).scalar()
-    margin = fact.agg(F.sum("gross_margin")).scalar()
+    # A row per category, stored: the totals are added up from these rows, not from the fact again.
+    rolled = stash(rolled, "category-rollup")
+    revenue, margin = rolled.agg(F.sum("gross_revenue")).scalar(), rolled.agg(F.sum("gross_margin")).scalar()
     has_margin = F.col("gross_margin") != 0
-    return rolled.join(names, list(CATEGORY_GRAIN)).select(
+    joined = rolled.join(names, list(CATEGORY_GRAIN)).withColumns({"_revenue": revenue, "_margin": margin})
+    return joined.select(
         "category_id",
         "category_name",
         "subcategory_name",
@@ -202,8 +204,8 @@ def category_rollup(fact: DataFrame) -> DataFrame:
         ratio("gross_margin", "gross_revenue", 4).alias("gross_margin_pct"),
         ratio("gross_revenue", "units_sold", 2).alias("average_unit_price"),
         ratio("gross_revenue", "order_count", 2).alias("average_order_value"),
-        ratio("gross_revenue", revenue, 4).alias("revenue_share"),
-        F.when(has_margin, ratio("gross_margin", margin, 4)).alias("margin_share"),
+        ratio("gross_revenue", "_revenue", 4).alias("revenue_share"),
+        F.when(has_margin, ratio("gross_margin", "_margin", 4)).alias("margin_share"),
     )
 
 

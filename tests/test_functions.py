@@ -101,6 +101,40 @@ def test_ratio(spark):
     assert got == [Decimal("0.1234"), Decimal("-999999999999999999"), Decimal("0")]
 
 
+MONEY = st.one_of(
+    st.integers(-(10**18) + 1, 10**18 - 1), st.integers(-5000, 5000), st.sampled_from([10**17 - 1, 10**17, 1 - 10**17, 10**15, 10**17 + 5])
+).map(lambda cents: Decimal(cents).scaleb(-2))
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.lists(st.tuples(MONEY, MONEY), min_size=1, max_size=60))
+def test_ratio_is_exact_at_every_size(spark, pairs):
+    from fractions import Fraction
+    from math import floor
+
+    df = spark.createDataFrame([(i, *p) for i, p in enumerate(pairs)], "i int, n decimal(18,2), d decimal(18,2)").orderBy("i")
+    for scale in (2, 4):
+        got = [r[0] for r in df.select(measures.ratio("n", "d", scale)).collect()]
+        for (n, d), value in zip(pairs, got, strict=True):
+            if not d:
+                assert value is None
+                continue
+            exact = abs(Fraction(n) / Fraction(d)) * 10**scale
+            rounded = floor(exact + Fraction(1, 2))
+            assert value == Decimal(-rounded if (n < 0) != (d < 0) else rounded).scaleb(-scale)
+
+
+def test_ratio_near_ties(spark):
+    """Quotients next to a half of the last place, with divisors of up to 17 digits."""
+    rows = [(Decimal(2 * k * b + e).scaleb(-2) / 2, Decimal(b).scaleb(-2)) for b in (10**16 + 7, 3, 99999999999999999) for k in (0, 1) for e in (b - 1, b, b + 1) if (2 * k * b + e) % 2 == 0]
+    df = spark.createDataFrame([(i, *p) for i, p in enumerate(rows)], "i int, n decimal(18,2), d decimal(18,2)").orderBy("i")
+    got = [r[0] for r in df.select(measures.ratio("n", "d", 0)).collect()]
+    from fractions import Fraction
+    from math import floor
+
+    assert got == [floor(Fraction(n) / Fraction(d) + Fraction(1, 2)) for n, d in rows]
+
+
 def test_margins(spark):
     df = spark.createDataFrame(
         [(Decimal("100"), 2, Decimal("50"), Decimal("30")), (Decimal("100"), 2, Decimal("50"), Decimal("0")), (Decimal("100"), 2, Decimal("50"), None)],

@@ -95,7 +95,7 @@ def test_scd2_of_a_hot_key_equals_the_plain_window(spark, rows):
     )
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        spread = sequence.number_in_key(df, "k", ["start", "id"], "n", "c", ("start", "x"))
+        spread = sequence.number_in_key(df, "k", ["start", "id"], "n", "c", ("start", "x"), heavy_rows=100)
         assert rows(spread.select(plain.columns)) == rows(plain)
         ranges = sequence.sorted_ranges(df, "k", ["start", "id"]).groupBy("_seq_part", "k").count()
         of_hot = [r["count"] for r in ranges.filter("k = 'hot'").collect()]
