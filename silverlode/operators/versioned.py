@@ -8,10 +8,17 @@ writes new folders only:
 
 A version counts once Spark's ``_SUCCESS`` marker is there, hence a failed commit is invisible and a
 reader keeps the version it opened. A commit rewrites the partitions it touches and no others.
+
+The listing also keeps, for each load, the schema of its files and every other schema that the table had since.
+Loads with one such history are read together, as they were written, and taken from schema to schema up
+to the newest: added columns are null in older rows, dropped ones are gone even if the name returns, and a
+column may change its type as long as every stored value can be read as the new one. Which folders a commit
+happened to rewrite makes no difference.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from functools import reduce
 from urllib.parse import unquote
@@ -24,7 +31,7 @@ from silverlode.session import stash
 from silverlode.sources.files import child_folders, exists
 
 _VERSION_SCHEMA = T.StructType(
-    [T.StructField("load", T.LongType()), T.StructField("part", T.StringType())]
+    [T.StructField("load", T.LongType()), T.StructField("part", T.StringType()), T.StructField("schemas", T.StringType())]
 )
 _NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
 
@@ -33,6 +40,10 @@ class DuplicateKeyError(ValueError):
     """The updates hold a key twice, so "replace the row" has no single meaning."""
 
 
+class SchemaChangeError(ValueError):
+    """A column changes to a type that some of its stored values cannot be read as."""
+
+
 class VersionedTable:
     """``partition`` must be a string column with few values (a month, not a day and key)."""
 
@@ -51,35 +62,49 @@ class VersionedTable:
                 return number
         return None
 
-    def _holders(self, version: int | None) -> dict[str, int]:
-        """Partition folder -> load. One entry per partition value, so small by construction."""
+    def _listing(self, version: int | None) -> list:
+        """(load, part, schemas) of a version. One entry per partition value, so small by construction."""
         if version is None:
-            return {}
-        rows = self.spark.read.schema(_VERSION_SCHEMA).parquet(f"{self.path}/versions/v={version}")
-        return {row["part"]: row["load"] for row in rows.collect()}
+            return []
+        return self.spark.read.schema(_VERSION_SCHEMA).parquet(f"{self.path}/versions/v={version}").collect()
+
+    def _holders(self, version: int | None) -> dict[str, int]:
+        """Partition folder -> load."""
+        return {row["part"]: row["load"] for row in self._listing(version)}
+
+    def _histories(self, version: int | None) -> dict[int, list[T.StructType]]:
+        """Load -> schema of its files and those that the table had since, for the loads that a version holds."""
+        texts = {row["load"]: row["schemas"] for row in self._listing(version)}
+        found = {load: [T.StructType.fromJson(x) for x in json.loads(text)] for load, text in texts.items() if text}
+        for load in texts.keys() - found.keys():
+            # A listing from before schemas were kept: the files tell.
+            shape = self.spark.read.parquet(f"{self.path}/data/load={load}").schema
+            found[load] = [T.StructType([f for f in shape if f.name != self.partition])]
+        if found and not all(texts.values()):
+            newest = found[max(found)][-1]
+            found = {load: shapes if shapes[-1] == newest else [*shapes, newest] for load, shapes in found.items()}
+        return found
 
     def read(self, version: int | None = None) -> DataFrame | None:
-        """The newest (or a given) version, None before the first commit. The column types are those of
-        the newest load, so columns that later loads added are null in older rows."""
+        """The newest (or a given) version, None before the first commit, in the columns of its newest load."""
         version = self.version() if version is None else version
-        return None if version is None else self._read_parts(self._holders(version))
-
-    def _read_parts(self, holders: dict[str, int]) -> DataFrame | None:
-        if not holders:
-            return None
-        newest = max(holders.values())
-        shape = self.spark.read.parquet(f"{self.path}/data/load={newest}").schema
-        fields = [f for f in shape if f.name != self.partition]
-        folders = [f"{self.path}/data/load={load}/{part}" for part, load in sorted(holders.items())]
-        schema = T.StructType(
-            [*fields, T.StructField("load", T.LongType()), T.StructField(self.partition, T.StringType())]
-        )
-        return (
-            self.spark.read.schema(schema)
-            .option("basePath", f"{self.path}/data")
-            .parquet(*folders)
-            .drop("load")
-        )
+        return None if version is None else self._read_parts(self._holders(version), self._histories(version))
+
+    def _read_parts(self, holders: dict[str, int], histories: dict[int, list[T.StructType]]) -> DataFrame | None:
+        """The rows of some partitions: one read for each history of schemas."""
+        alike: dict[str, list[str]] = {}
+        for part, load in sorted(holders.items()):
+            alike.setdefault(_as_text(histories[load]), []).append(f"{self.path}/data/load={load}/{part}")
+        place = T.StructField(self.partition, T.StringType())
+        frames = []
+        for text, folders in alike.items():
+            first, *later = (T.StructType.fromJson(x) for x in json.loads(text))
+            files = T.StructType([*first, T.StructField("load", T.LongType()), place])
+            rows = self.spark.read.schema(files).option("basePath", f"{self.path}/data").parquet(*folders).drop("load")
+            for shape in later:
+                rows = in_shape(rows, T.StructType([*shape, place]))
+            frames.append(rows)
+        return reduce(DataFrame.unionByName, frames) if frames else None
 
     # --- writing -------------------------------------------------------------------------------
 
@@ -87,7 +112,7 @@ class VersionedTable:
         """Full refresh: the new version holds exactly ``df``."""
         number = self._next()
         self._write_rows(df, number, sort)
-        return self._publish(number, {part: number for part in self._written(number)})
+        return self._publish(number, {part: number for part in self._written(number)}, df.schema, {})
 
     def upsert(self, updates: DataFrame, sort: Sequence[str] = ()) -> int:
         """Replace matched rows whole, insert the others, delete nothing.
@@ -140,15 +165,38 @@ class VersionedTable:
         ))
 
     def _replace(self, version, touched, sort, new_rows, keep):
-        holders = self._holders(version)
+        holders, histories = self._holders(version), self._histories(version)
+        self._check_casts(self._read_parts(holders, histories), new_rows.schema)
         # Spark escapes special characters in folder names.
         rewritten = {p for p in holders if unquote(p) in touched}
-        old = self._read_parts({p: n for p, n in holders.items() if p in rewritten})
-        merged = new_rows if old is None else keep(sync_columns(old, new_rows)).unionByName(new_rows)
+        old = self._read_parts({p: n for p, n in holders.items() if p in rewritten}, histories)
+        merged = new_rows if old is None else keep(in_shape(old, new_rows.schema)).unionByName(new_rows)
         number = self._next()
         self._write_rows(merged, number, sort)
         kept = {p: n for p, n in holders.items() if p not in rewritten}
-        return self._publish(number, kept | {p: number for p in self._written(number)})
+        return self._publish(number, kept | {p: number for p in self._written(number)}, merged.schema, histories)
+
+    def _check_casts(self, stored: DataFrame | None, new: T.StructType) -> None:
+        """Refuse a change of type that would lose stored values, before anything is written.
+
+        Reads only columns that change to a type which cannot hold every value of the old one. Text must be
+        readable as the new type; other values must come back when cast back.
+        """
+        wanted = {f.name: f.dataType for f in new}
+        have = {f.name: f.dataType for f in stored.schema} if stored is not None else {}
+        risky = [c for c, kind in have.items() if c in wanted and not _widens(kind, wanted[c])]
+        if not risky:
+            return
+
+        def lost(name: str) -> Column:
+            cast = F.col(name).try_cast(wanted[name])
+            text = isinstance(have[name], T.StringType)
+            return F.col(name).isNotNull() & (cast.isNull() if text else ~cast.try_cast(have[name]).eqNullSafe(F.col(name)))
+
+        for name, n in stored.agg(*[F.count_if(lost(c)).alias(c) for c in risky]).first().asDict().items():
+            if n:
+                kinds = f"{have[name].simpleString()} to {wanted[name].simpleString()}"
+                raise SchemaChangeError(f"{n} stored values of {name} do not survive the change from {kinds}")
 
     def _name(self, value: str | None) -> str:
         return f"{self.partition}={_NULL_FOLDER if value is None else value}"
@@ -169,22 +217,59 @@ class VersionedTable:
     def _written(self, number: int) -> list[str]:
         return child_folders(self.spark, f"{self.path}/data/load={number}")
 
-    def _publish(self, number: int, holders: dict[str, int]) -> int:
-        rows = [(load, part) for part, load in sorted(holders.items())]
+    def _publish(
+        self, number: int, holders: dict[str, int], schema: T.StructType, histories: dict[int, list[T.StructType]]
+    ) -> int:
+        written = T.StructType([f for f in schema if f.name != self.partition])
+        newest = T.StructType.fromJson(_nullable(json.loads(written.json())))
+        histories = {load: known if known[-1] == newest else [*known, newest] for load, known in histories.items()}
+        histories[number] = [newest]
+        rows = [(load, part, _as_text(histories[load])) for part, load in sorted(holders.items())]
         listing = self.spark.createDataFrame(rows, _VERSION_SCHEMA).coalesce(1)
         listing.write.parquet(f"{self.path}/versions/v={number}")
         return number
 
 
-def sync_columns(old: DataFrame, new: DataFrame) -> DataFrame:
-    """``old`` in the shape of ``new``: missing columns null, columns that ``new`` lost dropped."""
-    have = set(old.columns)
-    return old.select(
-        *[
-            (F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name)
-            for f in new.schema
-        ]
-    )
+def _as_text(schemas: Sequence[T.StructType]) -> str:
+    return json.dumps([json.loads(s.json()) for s in schemas])
+
+
+def _nullable(schema):
+    """A schema as files have it: everything may be null."""
+    if isinstance(schema, list):
+        return [_nullable(x) for x in schema]
+    if not isinstance(schema, dict):
+        return schema
+    free = {"nullable", "containsNull", "valueContainsNull"}
+    return {k: True if k in free else v if k == "metadata" else _nullable(v) for k, v in schema.items()}
+
+
+#: Whole numbers by size.
+_WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+
+
+def _widens(old: T.DataType, new: T.DataType) -> bool:
+    """Whether every value of ``old`` can be read as ``new``."""
+    if old == new or (isinstance(new, T.StringType) and isinstance(old, T.AtomicType)):
+        return True
+    if type(old) in _WHOLE and type(new) in _WHOLE:
+        return _WHOLE.index(type(old)) <= _WHOLE.index(type(new))
+    if isinstance(old, T.DecimalType) and isinstance(new, T.DecimalType):
+        return new.scale >= old.scale and new.precision - new.scale >= old.precision - old.scale
+    return isinstance(old, T.FloatType) and isinstance(new, T.DoubleType)
+
+
+def in_shape(rows: DataFrame, shape: T.StructType) -> DataFrame:
+    """``rows`` in the columns of ``shape``: missing ones null, others of another type cast, further ones dropped."""
+    have = {f.name: f.dataType for f in rows.schema}
+
+    def column(field: T.StructField) -> Column:
+        if field.name not in have:
+            return F.lit(None).cast(field.dataType)
+        given = F.col(field.name)
+        return given if have[field.name] == field.dataType else given.try_cast(field.dataType)
+
+    return rows.select(*[column(f).alias(f.name) for f in shape])
 
 
 def lookback(source: DataFrame, target: DataFrame | None, date: str, days: int) -> DataFrame:
@@ -200,12 +285,6 @@ def stale_keys(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
     return target.join(source.select(key), key, "left_anti")
 
 
-def upsert_rows(target: DataFrame, updates: DataFrame, key: str) -> DataFrame:
-    """The upsert as an expression, for callers that store the result themselves."""
-    kept = sync_columns(target, updates).join(updates.select(key), key, "left_anti")
-    return kept.unionByName(updates)
-
-
 def union_all(frames: Sequence[DataFrame]) -> DataFrame:
     """Union by name; a column only some frames have is null in the others."""
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)

@@ -152,12 +152,8 @@ def product_performance(fact: DataFrame, dim_products: DataFrame) -> DataFrame:
 CATEGORY_GRAIN = ("category_id", "subcategory_name", "product_line", "requires_maintenance")
 
 
-def category_rollup(fact: DataFrame) -> DataFrame:
-    """Revenue, margin and portfolio shares per category, subcategory, line and maintenance flag.
-
-    Distinct orders, buyers and products are counted at this grain in the same aggregation.
-    """
-    named = fact.select(
+def _classified(fact: DataFrame) -> DataFrame:
+    return fact.select(
         F.coalesce("category_id", F.lit("UNCLASSIFIED")).alias("category_id"),
         F.coalesce("category_name", F.lit("Unclassified")).alias("category_name"),
         F.coalesce("subcategory_name", F.lit("Unclassified")).alias("subcategory_name"),
@@ -170,11 +166,11 @@ def category_rollup(fact: DataFrame) -> DataFrame:
         "sales_amount",
         "gross_margin",
     )
-    # The name apart: a maximum of texts would turn the big aggregate into a sort. Distinct
-    # combinations are a handful, combined on the map side.
-    names = named.select(*CATEGORY_GRAIN, "category_name").distinct()
-    names = names.groupBy(*CATEGORY_GRAIN).agg(F.max("category_name").alias("category_name"))
-    rolled = named.groupBy(*CATEGORY_GRAIN).agg(
+
+
+def category_sums(fact: DataFrame) -> DataFrame:
+    """Sums and distinct counts of the fact per category grain."""
+    return _classified(fact).groupBy(*CATEGORY_GRAIN).agg(
         F.countDistinct("order_number").alias("order_count"),
         F.countDistinct("customer_sk").alias("buyer_count"),
         F.countDistinct("product_key").alias("product_count"),
@@ -183,8 +179,19 @@ def category_rollup(fact: DataFrame) -> DataFrame:
         F.sum("sales_amount").alias("gross_revenue"),
         F.sum("gross_margin").alias("gross_margin"),
     )
+
+
+def category_rollup(fact: DataFrame) -> DataFrame:
+    """Revenue, margin and portfolio shares per category, subcategory, line and maintenance flag.
+
+    Distinct orders, buyers and products are counted at this grain in the same aggregation.
+    """
     # A row per category, stored: the totals are added up from these rows, not from the fact again.
-    rolled = stash(rolled, "category-rollup")
+    rolled = stash(category_sums(fact), "category-rollup")
+    # The name apart: a maximum of texts would turn the big aggregate into a sort. Distinct
+    # combinations are a handful, combined on the map side.
+    names = _classified(fact).select(*CATEGORY_GRAIN, "category_name").distinct()
+    names = names.groupBy(*CATEGORY_GRAIN).agg(F.max("category_name").alias("category_name"))
     revenue, margin = rolled.agg(F.sum("gross_revenue")).scalar(), rolled.agg(F.sum("gross_margin")).scalar()
     has_margin = F.col("gross_margin") != 0
     joined = rolled.join(names, list(CATEGORY_GRAIN)).withColumns({"_revenue": revenue, "_margin": margin})

@@ -271,15 +271,39 @@ def replace_window(spark, sf_dir):
     return stored.read().select(*_SHOWN)
 
 
+def _customer_table(spark: SparkSession) -> versioned.VersionedTable:
+    return versioned.VersionedTable(spark, scratch_path(spark, "customers"), "c_custkey", "nation")
+
+
+def _customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "customer").withColumn("nation", F.col("c_nationkey").cast("string"))
+
+
 @query
 def upsert_schema_sync(spark, sf_dir):
-    """Upsert whose updates have a new column and lack an old one."""
-    customers = table(spark, sf_dir, "customer")
-    stored = customers.filter(F.col("c_custkey") % 3 != 0).drop("c_mktsegment")
-    updates = customers.filter(F.col("c_custkey") % 2 == 0).select(
-        "c_custkey", (F.col("c_acctbal") + 1).alias("c_acctbal"), "c_mktsegment"
-    )
-    return versioned.upsert_rows(stored, updates, "c_custkey")
+    """Upsert whose updates have a new column and lack an old one: every customer is stored, updated or both."""
+    customers = _customers(spark, sf_dir)
+    stored = _customer_table(spark)
+    stored.overwrite(customers.filter(F.col("c_custkey") % 3 != 0).select("c_custkey", "c_name", "c_acctbal", "c_nationkey", "nation"))
+    changed = customers.filter((F.col("c_custkey") % 2 == 0) | (F.col("c_custkey") % 3 == 0))
+    stored.upsert(changed.select("c_custkey", "c_name", (F.col("c_acctbal") + 1).alias("c_acctbal"), "c_mktsegment", "nation"))
+    return stored.read()
+
+
+@query
+def upsert_type_change(spark, sf_dir):
+    """A code turns from text into a number and back, a number into text, while only some nations are rewritten."""
+    customers = _customers(spark, sf_dir)
+    padded = F.lpad(F.col("c_custkey").cast("string"), 10, "0")
+    stored = _customer_table(spark)
+    stored.overwrite(customers.select("c_custkey", padded.alias("code"), F.col("c_nationkey").cast("int").alias("zone"), "c_acctbal", "nation"))
+    even = customers.filter(F.col("c_nationkey") % 2 == 0)
+    named = F.concat(F.lit("Z"), F.col("c_nationkey").cast("string"))
+    stored.upsert(even.select("c_custkey", (F.col("c_custkey") + 1).alias("code"), named.alias("zone"), "c_acctbal", "nation"))
+    third = customers.filter(F.col("c_nationkey") % 3 == 0)
+    coded = F.concat(F.lit("C"), F.col("c_custkey").cast("string"))
+    stored.upsert(third.select("c_custkey", coded.alias("code"), named.alias("zone"), F.col("c_acctbal").cast("string"), "nation"))
+    return stored.read().withColumn("c_acctbal", F.col("c_acctbal").cast("double"))
 
 
 @query

@@ -59,5 +59,5 @@ def test_monthly_kpis_aggregate_by_hash(spark):
 
     text = plan(marts.kpi_monthly(fact_frame(spark, SF)))
     assert "SortAggregate(key=[order_year_month" not in text
-    text = plan(marts.category_rollup(fact_frame(spark, SF)))
+    text = plan(marts.category_sums(fact_frame(spark, SF)))
     assert "HashAggregate(keys=[category_id" in text

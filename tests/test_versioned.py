@@ -128,6 +128,51 @@ def test_schema_sync(spark, stored):
     assert sorted((r.sales_line_id, r.w) for r in stored.read().collect()) == [("a", None), ("b", "new")]
 
 
+def typed(spark, schema, *items):
+    return spark.createDataFrame(list(items), f"sales_line_id string, order_year_month string, {schema}")
+
+
+def kept(table, *columns):
+    return sorted(tuple(r) for r in table.read().select("sales_line_id", *columns).collect())
+
+
+def test_types_may_change_both_ways(spark, stored):
+    stored.overwrite(typed(spark, "v int, w string", ("a", "2014-01", 1, "07"), ("b", "2014-02", 2, " 8"), ("c", "2014-03", None, None)))
+    stored.upsert(typed(spark, "v string, w int", ("b", "2014-02", "x", 9)))
+    assert dict(stored.read().dtypes) == {"sales_line_id": "string", "order_year_month": "string", "v": "string", "w": "int"}
+    assert kept(stored, "v", "w") == [("a", "1", 7), ("b", "x", 9), ("c", None, None)]
+    # Back to text: what was read as a number stays one, whether or not its folder was rewritten.
+    stored.upsert(typed(spark, "w string", ("c", "2014-03", "z")))
+    assert kept(stored, "w") == [("a", "7"), ("b", "9"), ("c", "z")]
+    # A name that returns is a new column.
+    stored.upsert(typed(spark, "w string, v string", ("d", "2014-03", "z", "n")))
+    assert kept(stored, "v", "w") == [("a", None, "7"), ("b", None, "9"), ("c", None, "z"), ("d", "n", "z")]
+    assert kept(stored, "v") == sorted((r.sales_line_id, r.v) for p in ("01", "02", "03") for r in stored.read().filter(f"order_year_month = '2014-{p}'").collect())
+
+
+def test_values_that_would_be_lost_stop_the_commit(spark, stored):
+    stored.overwrite(typed(spark, "v string, w double", ("a", "2014-01", "seven", 1.5), ("b", "2014-02", "8", 2.0)))
+    before = stored.version()
+    with pytest.raises(versioned.SchemaChangeError, match="1 stored values of v"):
+        stored.upsert(typed(spark, "v int, w double", ("b", "2014-02", 1, 2.0)))
+    with pytest.raises(versioned.SchemaChangeError, match="of w do not survive the change from double to int"):
+        stored.upsert(typed(spark, "v string, w int", ("b", "2014-02", "1", 2)))
+    assert stored.version() == before and kept(stored, "v", "w") == [("a", "seven", 1.5), ("b", "8", 2.0)]
+    stored.overwrite(typed(spark, "v int, w int", ("b", "2014-02", 1, 2)))
+    assert kept(stored, "v", "w") == [("b", 1, 2)]
+
+
+def test_listing_without_schemas_is_readable(spark, stored):
+    """A table written before schemas were kept."""
+    stored.overwrite(typed(spark, "v int", ("a", "2014-01", 1), ("b", "2014-02", 2)))
+    version = stored.upsert(typed(spark, "v int, w int", ("b", "2014-02", 3, 4)))
+    old = spark.read.parquet(f"{stored.path}/versions/v={version}").drop("schemas").collect()
+    spark.createDataFrame(old, "load bigint, part string").coalesce(1).write.mode("overwrite").parquet(f"{stored.path}/versions/v={version}")
+    assert kept(stored, "v", "w") == [("a", 1, None), ("b", 3, 4)]
+    stored.upsert(typed(spark, "v string, w int", ("b", "2014-02", "5", 6)))
+    assert kept(stored, "v", "w") == [("a", "1", None), ("b", "5", 6)]
+
+
 def test_partition_filter_prunes_folders(spark, stored):
     stored.overwrite(frame(spark, ("a", "2014-01-05", 1), ("b", "2014-02-05", 1)))
     plan = stored.read().filter("order_year_month = '2014-02'")._jdf.queryExecution().executedPlan().toString()
