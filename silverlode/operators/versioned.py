@@ -164,6 +164,25 @@ class VersionedTable:
             ~F.coalesce(in_window, F.lit(False))
         ))
 
+    def partitions(self) -> list[str]:
+        """Partition values of the newest version."""
+        return sorted(unquote(part.split("=", 1)[1]) for part in self._holders(self.version()))
+
+    def replace_partitions(self, rows: DataFrame | None, gone: Sequence[str] = (), sort: Sequence[str] = ()) -> int:
+        """The partitions that ``rows`` have become exactly those rows, ``gone`` ones are dropped, others stay."""
+        version, number = self.version(), self._next()
+        dropped = {self._name(value) for value in gone}
+        holders = {p: n for p, n in self._holders(version).items() if unquote(p) not in dropped}
+        histories = self._histories(version)
+        if rows is None:
+            schema = histories[max(histories)][-1]
+        else:
+            schema = rows.schema
+            self._check_casts(self._read_parts(holders, histories), schema)
+            self._write_rows(rows, number, sort)
+            holders |= {p: number for p in self._written(number)}
+        return self._publish(number, holders, schema, histories)
+
     def _replace(self, version, touched, sort, new_rows, keep):
         holders, histories = self._holders(version), self._histories(version)
         self._check_casts(self._read_parts(holders, histories), new_rows.schema)

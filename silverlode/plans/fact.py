@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -100,6 +102,13 @@ def refresh_fact(table: VersionedTable, rows: DataFrame, days: int, full: bool =
     return table.upsert(lookback(rows, table.read(), "order_date", days), sort=FACT_SORT)
 
 
+def lookback_start(table: VersionedTable, days: int) -> dt.date | None:
+    """First day of the lookback window of the stored fact; None when nothing is stored, so all rows count."""
+    stored = table.read()
+    newest = None if stored is None else stored.agg(F.max("order_date")).first()[0]
+    return None if newest is None else newest - dt.timedelta(days=days)
+
+
 def replace_recent(table: VersionedTable, rows: DataFrame, since) -> int:
     """Delete-aware refresh: the fact from ``since`` on becomes exactly the rows from ``since`` on."""
     cut = F.lit(since).cast("date")

@@ -11,7 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 from silverlode.config import Settings
 from silverlode.operators.layout import materialise
 from silverlode.operators.quality import run_checks
+from silverlode.operators.versioned import VersionedTable
 from silverlode.plans import checks, conform, dimensions, fact, marts, staging
+from silverlode.plans.silver_sales import SalesStore
 from silverlode.session import stash
 from silverlode.sources.bronze import read_bronze
 
@@ -141,15 +143,43 @@ def customer_dimension(
     return dimensions.dim_customers(customers, priced, settings.as_of)
 
 
-def build(spark: SparkSession, raw, settings: Settings, full: bool = False) -> dict[str, DataFrame]:
+def refresh_sales(
+    table: VersionedTable,
+    sales: SalesStore,
+    customers: DataFrame,
+    lookup: DataFrame,
+    settings: Settings,
+    full: bool = False,
+    late: bool = False,
+) -> int:
+    """Parse new batches and bring the fact up to date; returns the fact's version.
+
+    The fact is rebuilt from all stored lines (``full``), or those from the lookback window on are upserted. With
+    ``late`` every line of the new batches is, also one that is older than the window. Only files that may hold
+    such lines are read, and no old batch is parsed again.
+    """
+    fresh = sales.refresh()
+    since = None if full else fact.lookback_start(table, settings.lookback_days)
+    lines = sales.read() if since is None else sales.recent(since, fresh if late else ())
+    clean = Silver(None)
+    clean.sales = lines
+    rows = fact_lines(clean, customers, lookup)
+    return table.overwrite(rows, fact.FACT_SORT) if since is None else table.upsert(rows, fact.FACT_SORT)
+
+
+def build(
+    spark: SparkSession, raw, settings: Settings, full: bool = False, late: bool = False
+) -> dict[str, DataFrame]:
     """Build every gold table and mart; returns the stored tables.
 
-    Dimensions and marts are rebuilt, the fact is refreshed over its lookback window, or rebuilt
-    with ``full``. The sales lines are read from raw twice, for the order history of the customers
-    and for the fact, each time with only the columns needed.
+    Dimensions and marts are rebuilt, the fact is refreshed over its lookback window (and, with ``late``, by
+    all lines of new batches), or rebuilt with ``full``. Only new batches of sales are parsed; the order
+    history of the customers and the fact read the stored lines, with only the columns needed.
     """
     gold = settings.layer("gold")
     clean = Silver(raw)
+    sales_store = SalesStore(spark, settings)
+    table = fact.fact_table(spark, f"{gold}/fct_sales")
     stored: dict[str, DataFrame] = {}
 
     def keep(name: str, df: DataFrame, cluster_by: tuple[str, ...] = ()) -> DataFrame:
@@ -169,15 +199,15 @@ def build(spark: SparkSession, raw, settings: Settings, full: bool = False) -> d
         ("product_key", "category_id", "is_current"),
     )
     lookup = stored_lookup(clean, items)
+    # The fact comes first, as it parses the new batches; it takes the customers from their conformed form.
+    conformed = stash(conform.with_customer_sk(conformed_customers(clean, settings)), "customers")
+    refresh_sales(table, sales_store, conformed, lookup, settings, full, late)
+    clean.sales = sales_store.read()
     people = keep(
         "dim_customers",
-        customer_dimension(clean, conformed_customers(clean, settings), lookup, settings),
+        customer_dimension(clean, conformed, lookup, settings),
         ("customer_key", "country"),
     )
-    # The stored customer dimension has every attribute the fact takes from a customer.
-    rows = fact_lines(clean, people, lookup)
-    table = fact.fact_table(spark, f"{gold}/fct_sales")
-    fact.refresh_fact(table, rows, settings.lookback_days, full)
     sales = stored["fct_sales"] = table.read()
 
     keep("agg_kpi__monthly_performance", marts.kpi_monthly(sales))

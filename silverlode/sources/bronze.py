@@ -7,14 +7,16 @@ import uuid
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from silverlode.operators.layout import file_sizes
 from silverlode.operators.versioned import union_all
-from silverlode.sources.files import exists
+from silverlode.sources.files import child_folders, exists
 from silverlode.sources.headers import FileHeader, list_files, read_headers
 from silverlode.sources.specs import RESCUED, SourceSpec, sources, string_schema
 
@@ -94,6 +96,40 @@ def read_bronze(spark: SparkSession, bronze: str, table: str, merge_schema: bool
     return spark.read.schema(T.StructType(fields)).parquet(path)
 
 
+def read_batches(spark: SparkSession, bronze: str, table: str, batches: Sequence[str]) -> DataFrame:
+    """Some batches of a bronze table: nothing of the others is opened, not even for the schema."""
+    path = f"{bronze.rstrip('/')}/{table}"
+    if not batches:
+        return read_bronze(spark, bronze, table).limit(0)
+    folders = [f"{path}/{name}" for name in batch_folders(spark, path, batches)]
+    found = spark.read.option("basePath", path).option("mergeSchema", True).parquet(*folders).schema
+    fields = [T.StructField(f.name, T.StringType() if f.name == BATCH else f.dataType) for f in found]
+    return spark.read.schema(T.StructType(fields)).option("basePath", path).parquet(*folders)
+
+
+def batch_folders(spark: SparkSession, path: str, batches: Sequence[str]) -> list[str]:
+    """Folder names of the batches; Spark escapes special characters in them."""
+    wanted = set(batches)
+    return [f for f in child_folders(spark, path) if f.startswith(f"{BATCH}=") and unquote(f.split("=", 1)[1]) in wanted]
+
+
+def batch_signatures(spark: SparkSession, bronze: str, table: str) -> dict[str, str]:
+    """Batch id -> digest of its files' names and lengths: a batch that is written anew gets another one.
+
+    The files are listed and added up by tasks; one row per batch comes back.
+    """
+    path = f"{bronze.rstrip('/')}/{table}"
+    if not exists(spark, path):
+        return {}
+    folder = F.regexp_extract("path", f"/{BATCH}=([^/]*)/[^/]*$", 1)
+    mark = F.xxhash64(F.substring_index("path", "/", -1), "length")
+    marks = file_sizes(spark, path).groupBy(folder.alias("batch")).agg(
+        F.count(F.lit(1)).alias("n"), F.bit_xor(mark).alias("mark")
+    )
+    rows = marks.select("batch", F.lower(F.hex(F.xxhash64("n", "mark"))).alias("mark")).collect()
+    return {unquote(unquote(row["batch"])): row["mark"] for row in rows}
+
+
 # --- writing ---------------------------------------------------------------------------------------
 
 
