@@ -109,7 +109,8 @@ def has_phrase(text: Column) -> Column:
 def line_fails(line: Column, limits: QualityLimits, furnished: Column) -> Column:
     """Whether a line is marked junk, navigation or boilerplate; blank lines never fail."""
     n_words = F.regexp_count(line, F.lit(WORD_PATTERN))
-    marked = F.regexp_count(line, F.lit(r"[^\x20\x09-\x0D]*(?:[#*$%&<>]|!!)[^\x20\x09-\x0D]*"))
+    # Word by word: one pattern for a whole marked word would be tried anew at each character of a long word.
+    marked = F.size(F.filter(words_of(line), lambda word: word.rlike(r"[#*$%&<>]|!!")))
     separators = F.regexp_count(line, F.lit(r"(?:^|[\x20\t])(?:\||»|·|>)(?=[\x20\t]|$)"))
     punctuation = line.rlike(r"[#*$%&<>]|!!") & (marked * 100 > n_words * limits.max_marked_pct)
     navigation = line.rlike(r"[|»·>]") & (separators >= 2) & (n_words < (separators + 1) * limits.words_per_separator)

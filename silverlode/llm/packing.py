@@ -9,7 +9,9 @@ the bins' free capacities.
 
 from __future__ import annotations
 
+import json
 import re
+import unicodedata
 from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
 
@@ -32,21 +34,56 @@ class PackingPlan:
     cached_words: int = 400_000
 
 
+# The tokenizer settings under which words may be encoded one by one.
+_NORMALIZER = {
+    "type": "Sequence",
+    "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}],
+}
+_PRE_TOKENIZER = {
+    "type": "Sequence",
+    "pretokenizers": [
+        {
+            "type": "Split",
+            "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"},
+            "behavior": "Removed",
+            "invert": True,
+        },
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+    ],
+}
+
+
 class WordEncoder:
     """Token ids of whole texts, with the ids of every word looked up once.
 
-    For tokenizers that drop white space and start anew at every change between letters and other
-    characters (apostrophes aside). Texts for which word-wise encoding could differ go to the tokenizer
-    whole: separators that only Python counts as white space, and special tokens written out.
+    For tokenizers that normalise as above, drop white space and start anew at every change between letters and
+    other characters (apostrophes aside); with any other tokenizer every text goes to it whole. So do texts for
+    which word-wise encoding could differ: separators that only Python counts as white space, special
+    tokens written out, characters on which two versions of Unicode may differ, and texts whose lower case is not in the composed form (as its parts would then be
+    normalised a second time). Texts are normalised before they are split, as the tokenizer does.
     """
 
     _WHOLE = re.compile("[\x1c-\x1f]|<\\|")
+    #: Anything but scripts and signs whose letters, digits and cases have long been settled: Latin, Greek, Cyrillic,
+    #: punctuation, currency and letter-like signs, arrows to dingbats, kana, ideographs, Hangul, full-width forms, emoji.
+    _UNSETTLED = re.compile(
+        "[^\\u0000-\\u052f\\u1e00-\\u206f\\u20a0-\\u20bf\\u2100-\\u218b\\u2190-\\u27bf\\u3000-\\u3029\\u3041-\\u30ff"
+        "\\u4e00-\\u9fa5\\uac00-\\ud7a3\\ufe0f\\uff01-\\uffee\\U0001f300-\\U0001f6ff\\U0001f900-\\U0001f9ff]"
+    )
     _UNITS = re.compile(r"[^\W\d_]+|[\W\d_]+")
 
     def __init__(self, path: str, cached_words: int):
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
+        with open(path, encoding="utf-8") as file:
+            settings = json.load(file)
+        self.by_word = (
+            settings.get("normalizer") == _NORMALIZER
+            and settings.get("pre_tokenizer") == _PRE_TOKENIZER
+            and settings["model"]["type"] == "BPE"
+            and all(t["content"].startswith("<|") for t in settings.get("added_tokens", ()))
+        )
         self._limit = cached_words
         self._words: dict[str, bytes] = {}
         printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -57,12 +94,23 @@ class WordEncoder:
     def _whole(self, text: str) -> bytes:
         return np.array(self._tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
+    def _normal(self, text: str) -> str | None:
+        """The text as the tokenizer normalises it, white space aside; None if normalising once more changes it."""
+        if text.isascii():
+            return text.lower()
+        if self._UNSETTLED.search(text):
+            return None
+        # Python lower-cases a final capital sigma by its place, the tokenizer does not.
+        if "\u03a3" not in text and unicodedata.is_normalized("NFC", text):
+            plain = text.lower()
+        else:
+            plain = self._tokenizer.normalizer.normalize_str(text)
+        return plain if unicodedata.is_normalized("NFC", plain) else None
+
     def _unit(self, unit: str) -> bytes:
-        plain = self._tokenizer.normalizer.normalize_str(unit)
-        if not plain.isalpha():
+        if not unit.isalpha():
             return self._whole(unit)
-        if not plain.isascii():
-            plain = plain.encode().decode("latin-1").translate(self._bytes)
+        plain = unit if unit.isascii() else unit.encode().decode("latin-1").translate(self._bytes)
         return np.array([t.id for t in self._tokenizer.model.tokenize(plain)], "<u4").tobytes()
 
     def _word(self, word: str) -> bytes:
@@ -83,9 +131,10 @@ class WordEncoder:
 
     def encode(self, text: str) -> bytes:
         """The ids as little-endian unsigned 32-bit numbers."""
-        if self._WHOLE.search(text):
+        plain = self._normal(text) if self.by_word and not self._WHOLE.search(text) else None
+        if plain is None:
             return self._whole(text)
-        words = (text.lower() if text.isascii() else text).split()
+        words = plain.split()
         ids = list(map(self._words.get, words))
         if None in ids:
             ids = [self._word(w) if known is None else known for w, known in zip(words, ids, strict=True)]

@@ -150,8 +150,9 @@ def assign_shards(
     """Every row's id, ``size``, ``text_crc32``, ``shard`` and ``slot`` (its place in the shard, gapless from 0).
 
     Size: UTF-8 bytes and 1. Null texts count as empty ones. Equal texts share a shard, unless together
-    they are larger than a shard: then they are cut by id into pieces of a quarter of it, as no placement
-    of the whole could be even. Rows that repeat get a slot each. An empty table gives an empty result.
+    they are larger than a shard: then they are dealt over pieces of a quarter of it, as no placement of the
+    whole could be even; rows are numbered first, so that rows that repeat an id are spread, too. Rows that
+    repeat get a slot each. An empty table gives an empty result.
     Other columns are not read.
     """
     content = F.coalesce(F.col(text), F.lit(""))
@@ -167,9 +168,13 @@ def assign_shards(
     # Fewer than ``shards`` groups can be larger than a shard.
     oversize = whole.filter((F.col("bytes") > capacity) & (F.col("n") > 1)).select("id", "bytes").collect()
     piece = F.lit(0)
+    if oversize:
+        # Stored, so that a row keeps its number.
+        rows = stash(rows.withColumn("number", F.monotonically_increasing_id()), "numbered-rows")
     for row in oversize:
         pieces = -(-4 * row.bytes // max(1, capacity))
-        piece = F.when(F.col("id") == F.lit(row.id), F.pmod(F.xxhash64("doc"), F.lit(pieces)).cast("int")).otherwise(piece)
+        dealt = F.pmod(F.xxhash64("doc", "number"), F.lit(pieces)).cast("int")
+        piece = F.when(F.col("id") == F.lit(row.id), dealt).otherwise(piece)
     rows = rows.withColumn("piece", piece)
     if oversize:
         groups = stash(rows.groupBy("id", "piece").agg(F.sum("size").alias("bytes")), "text-groups")
@@ -179,7 +184,8 @@ def assign_shards(
 
     # Rows are numbered in many small buckets of each shard, and a bucket's first number is the sum of those before it.
     buckets = 1 + int(n_rows or 0) // (plan.shards * plan.slot_rows)
-    bucket = F.pmod(F.xxhash64("doc", "crc", "size"), F.lit(buckets)).cast("int").alias("bucket")
+    spread = F.xxhash64("doc", "crc", "size", F.monotonically_increasing_id())
+    bucket = F.pmod(spread, F.lit(buckets)).cast("int").alias("bucket")
     placed = stash(rows.join(shards, ["id", "piece"]).select("doc", "size", "crc", "shard", bucket), "sharded-rows")
     counts = placed.groupBy("shard", "bucket").agg(F.count("*").alias("n"))
     before = "sum(n) over (partition by shard order by bucket rows between unbounded preceding and current row) - n"
