@@ -8,6 +8,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from silverlode.sources.files import child_folders, delete_folder, exists
+
 
 def write_clustered(
     df: DataFrame, path: str, keys: Sequence[str], partition_by: Sequence[str] = ()
@@ -23,16 +25,58 @@ def write_clustered(
 def materialise(
     df: DataFrame, layer: str, name: str, root: str, cluster_by: Sequence[str] = ()
 ) -> DataFrame:
-    """Silver stays lazy (a temporary view); gold is stored and read back."""
+    """Silver stays lazy (a temporary view); gold is published and read back."""
     if layer == "silver":
         df.createOrReplaceTempView(name)
         return df
-    path = f"{root.rstrip('/')}/{layer}/{name}"
+    return publish(df, f"{root.rstrip('/')}/{layer}/{name}", cluster_by)
+
+
+def publish(df: DataFrame, path: str, cluster_by: Sequence[str] = ()) -> DataFrame:
+    """Store ``df`` as the next version of the table at ``path`` and read it back.
+
+    Every version is a folder of its own, and Spark's success marker in it is the switch: until the last task is
+    done readers get the version before, whose files stay. A job that dies leaves a folder without marker.
+    """
+    spark = df.sparkSession
+    folder = f"{path}/v={1 + max(_versions(spark, path), default=0)}"
     if cluster_by:
-        write_clustered(df, path, cluster_by)
+        write_clustered(df, folder, cluster_by)
     else:
-        df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+        df.write.parquet(folder)
+    return spark.read.schema(df.schema).parquet(folder)
+
+
+def published(spark: SparkSession, path: str) -> DataFrame:
+    """The newest complete version of the table at ``path``."""
+    complete = [v for v in _versions(spark, path) if exists(spark, f"{path}/v={v}/_SUCCESS")]
+    if not complete:
+        raise FileNotFoundError(f"nothing is published at {path}")
+    return spark.read.parquet(f"{path}/v={max(complete)}")
+
+
+def retire(spark: SparkSession, path: str, keep: int = 2) -> list[int]:
+    """Delete the versions before the newest ``keep`` complete ones, which readers may still hold. Returns them."""
+    versions = _versions(spark, path)
+    complete = [v for v in versions if exists(spark, f"{path}/v={v}/_SUCCESS")]
+    old = [v for v in versions if len(complete) >= max(1, keep) and v < complete[-max(1, keep)]]
+    for version in old:
+        delete_folder(spark, f"{path}/v={version}")
+    return old
+
+
+def _versions(spark: SparkSession, path: str) -> list[int]:
+    return sorted(int(name[2:]) for name in child_folders(spark, path) if name.startswith("v="))
+
+
+def ranges_for(stored: DataFrame, target_mb: int = 256) -> int:
+    """Into how many ranges to sort a stored frame: by the bytes of its files, whatever the session's partitions.
+
+    Ranges of about ``target_mb``; tables of up to 64 MB get one for each megabyte, so that small ones use many cores.
+    """
+    size = int(str(stored._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    mega = 1 << 20
+    return max(1, min(64, math.ceil(size / mega)), math.ceil(size / (target_mb * mega)))
 
 
 def file_sizes(spark: SparkSession, path: str, suffix: str = "parquet") -> DataFrame:

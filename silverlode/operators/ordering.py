@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from silverlode.operators.layout import ranges_for
 from silverlode.session import stash
 
 _PART, _POS = "_range_part", "_range_pos"
@@ -41,8 +42,9 @@ def rank_globally(df: DataFrame, *orderings: Ordering) -> DataFrame:
     """``df`` with the columns of every ordering."""
     # Stored, because finding the range borders reads the rows once more.
     ranked = stash(df, "rank-input")
+    ranges = ranges_for(ranked)
     for ordering in orderings:
-        ranked = _in_ranges(ranked, ordering)
+        ranked = _in_ranges(ranked, ordering, ranges)
     return ranked
 
 
@@ -59,9 +61,9 @@ def ntile_of_rank(rank: Column, total: Column, buckets: int) -> Column:
     )
 
 
-def _in_ranges(base: DataFrame, asked: Ordering) -> DataFrame:
+def _in_ranges(base: DataFrame, asked: Ordering, ranges: int) -> DataFrame:
     placed = (
-        base.repartitionByRange(*asked.by)
+        base.repartitionByRange(ranges, *asked.by)
         .sortWithinPartitions(*asked.by)
         .withColumn(_POS, F.monotonically_increasing_id())
     )

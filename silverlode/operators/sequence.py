@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from silverlode.operators.layout import ranges_for
 from silverlode.session import stash
 
 _PART, _POS = "_seq_part", "_seq_pos"
@@ -23,13 +24,15 @@ def number_in_key(
     count: str,
     next_value: tuple[str, str],
     heavy_rows: int = 1 << 20,
+    ranges: int | None = None,
 ) -> DataFrame:
     """Adds ``number`` (1-based position), ``count`` (rows of the key) and the next row's value.
 
     ``next_value`` is ``(source column, output column)``. ``order`` ascends, nulls last, and should
     end in a unique column; a null key is a key of its own. Keys of up to ``heavy_rows`` rows take one
     exchange by key and a window. The rows are counted by key first, on the map side; what larger keys have
-    is cut into sorted ranges of key and order, so that a key of any size spreads over tasks.
+    is cut into sorted ranges of key and order (``ranges`` of them, or as their bytes ask for), so that a key of
+    any size spreads over tasks.
     """
     sizes = df.groupBy(F.col(key).alias("_heavy_key")).agg(F.count(F.lit(1)).alias("_rows"))
     # Stored, so that its real size decides how the rows are joined to it.
@@ -39,7 +42,7 @@ def number_in_key(
         return _in_windows(df, key, order, *names)
     same = F.col(key).eqNullSafe(F.col("_heavy_key"))
     light = _in_windows(df.join(heavy, same, "left_anti"), key, order, *names)
-    return light.unionByName(_in_ranges(df.join(heavy, same, "left_semi"), key, order, *names))
+    return light.unionByName(_in_ranges(df.join(heavy, same, "left_semi"), key, order, *names, ranges))
 
 
 def _ascending(columns: Sequence[str]) -> list[Column]:
@@ -57,11 +60,13 @@ def _in_windows(df: DataFrame, key: str, order: Sequence[str], number: str, coun
     )
 
 
-def _in_ranges(df: DataFrame, key: str, order: Sequence[str], number: str, count: str, next_value: tuple[str, str]) -> DataFrame:
+def _in_ranges(
+    df: DataFrame, key: str, order: Sequence[str], number: str, count: str, next_value: tuple[str, str], ranges: int | None
+) -> DataFrame:
     """The same over sorted ranges. Windows stay inside a range; what a key has in other ranges comes from
     a table of the first and last key of each range."""
     source, output = next_value
-    rows = sorted_ranges(df, key, order)
+    rows = sorted_ranges(df, key, order, ranges)
     borders = _borders(rows, key, source)
     same = F.col(key).eqNullSafe(F.col("_border_key")) & (F.col(_PART) == F.col("_border_part"))
     in_range = W.partitionBy(_PART, key)
@@ -81,10 +86,11 @@ def _in_ranges(df: DataFrame, key: str, order: Sequence[str], number: str, count
     )
 
 
-def sorted_ranges(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
+def sorted_ranges(df: DataFrame, key: str, order: Sequence[str], ranges: int | None = None) -> DataFrame:
     """``df`` stored in ranges of key and order, with the number of the range and the place in it."""
     by = _ascending([key, *order])
-    placed = df.repartitionByRange(*by).sortWithinPartitions(*by)
+    held = stash(df, "sequence-input")
+    placed = held.repartitionByRange(ranges or ranges_for(held), *by).sortWithinPartitions(*by)
     # Stored, because borders and rows must see the same ranges.
     placed = placed.withColumn(_POS, F.monotonically_increasing_id())
     return stash(placed, "sequence").withColumn(_PART, F.shiftright(_POS, _ROW_BITS))

@@ -9,7 +9,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from silverlode.config import Settings
-from silverlode.operators.layout import materialise
+from silverlode.operators.layout import materialise, published
 from silverlode.operators.quality import run_checks
 from silverlode.operators.versioned import VersionedTable
 from silverlode.plans import checks, conform, dimensions, fact, marts, staging
@@ -220,7 +220,7 @@ def build(
 def open_gold(spark: SparkSession, settings: Settings) -> dict[str, DataFrame]:
     """The stored tables of the last ``build``."""
     gold = settings.layer("gold")
-    stored = {name: spark.read.parquet(f"{gold}/{name}") for name in GOLD_TABLES}
+    stored = {name: published(spark, f"{gold}/{name}") for name in GOLD_TABLES}
     stored["fct_sales"] = fact.fact_table(spark, f"{gold}/fct_sales").read()
     return stored
 

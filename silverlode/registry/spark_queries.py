@@ -329,6 +329,50 @@ def stale_keys(spark, sf_dir):
     return versioned.stale_keys(rows, rows.filter(F.col("quantity") % 5 != 0), "sales_line_id")
 
 
+# --- end to end ------------------------------------------------------------------------------------
+
+# A column of each gold table whose sum is compared.
+_SUMMED = {
+    "dim_dates": "date_year",
+    "dim_products": "version_number",
+    "dim_customers": "lifetime_sales_amount",
+    "fct_sales": "sales_amount",
+    "agg_kpi__monthly_performance": "gross_revenue",
+    "agg_products__performance": "revenue_rank",
+    "agg_products__category_rollup": "gross_revenue",
+    "agg_customers__rfm_segmentation": "rfm_total_score",
+}
+
+
+def land_extracts(extracts, landing: str, tag: str) -> None:
+    """The six extracts as CSV deliveries."""
+    frames = ("customers", "products", "sales", "attributes", "geography", "categories")
+    for spec, name in zip(sources(), frames, strict=True):
+        rows = getattr(extracts, name).select(*spec.columns)
+        rows.write.option("header", True).option("escape", '"').csv(f"{landing}/{spec.pattern.replace('*', tag)}")
+
+
+@query
+def warehouse_build(spark, sf_dir):
+    """Six CSV deliveries to bronze, gold and marts; built in full, then refreshed. A row per gold table: what it
+    holds, and how many rows the refresh changed."""
+    base = scratch_path(spark, "warehouse")
+    settings = Settings(root=f"{base}/lake", as_of=AS_OF)
+    land_extracts(raw(spark, sf_dir), f"{base}/landing", "_1")
+    bronze.assert_loaded(bronze.ingest_all(spark, f"{base}/landing", settings.layer("bronze"), batch_id="b1"))
+    extracts = warehouse.BronzeExtracts(spark, settings)
+    built = warehouse.build(spark, extracts, settings, full=True)
+    again = warehouse.build(spark, extracts, settings)
+    rows = []
+    for name, column in _SUMMED.items():
+        counted = built[name].agg(
+            F.lit(name).alias("gold_table"), F.count(F.lit(1)).alias("n_rows"), F.sum(column).cast("double").alias("total")
+        )
+        changed = again[name].exceptAll(built[name]).agg(F.count(F.lit(1)).alias("n_changed"))
+        rows.append(counted.withColumn("n_changed", changed.scalar()))
+    return versioned.union_all(rows)
+
+
 # --- marts -----------------------------------------------------------------------------------------
 
 

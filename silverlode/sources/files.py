@@ -15,6 +15,11 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def delete_folder(spark: SparkSession, path: str) -> None:
+    fs, p = _file_system(spark, path)
+    fs.delete(p, True)
+
+
 def child_folders(spark: SparkSession, path: str) -> list[str]:
     """Names of the folders directly below ``path`` (none when it does not exist)."""
     fs, p = _file_system(spark, path)

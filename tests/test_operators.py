@@ -4,7 +4,8 @@ import pytest
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from silverlode.operators import dedup, ordering, reject, scd, sequence
+from silverlode.operators import dedup, layout, ordering, reject, scd, sequence
+from silverlode.session import scratch_path, stash
 
 D = dt.date
 
@@ -95,9 +96,9 @@ def test_scd2_of_a_hot_key_equals_the_plain_window(spark, rows):
     )
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        spread = sequence.number_in_key(df, "k", ["start", "id"], "n", "c", ("start", "x"), heavy_rows=100)
+        spread = sequence.number_in_key(df, "k", ["start", "id"], "n", "c", ("start", "x"), heavy_rows=100, ranges=8)
         assert rows(spread.select(plain.columns)) == rows(plain)
-        ranges = sequence.sorted_ranges(df, "k", ["start", "id"]).groupBy("_seq_part", "k").count()
+        ranges = sequence.sorted_ranges(df, "k", ["start", "id"], ranges=8).groupBy("_seq_part", "k").count()
         of_hot = [r["count"] for r in ranges.filter("k = 'hot'").collect()]
         assert len(of_hot) >= 5 and max(of_hot) < 1500 and sum(of_hot) == 4000
     finally:
@@ -164,6 +165,40 @@ def test_distributed_order_uses_several_partitions(spark):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
 
 
+@pytest.mark.parametrize("partitions", ["4", "400"])
+def test_ranges_follow_the_bytes(spark, partitions):
+    """Three megabytes of rows: the same ranges whatever the session's partitions."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        df = spark.range(100_000).select(F.col("id"), F.md5(F.col("id").cast("string")).alias("text"))
+        asked = layout.ranges_for(stash(df, "test-rows"))
+        assert 3 <= asked <= 5
+        sizes = [r["count"] for r in sequence.sorted_ranges(df, "text", ["id"]).groupBy("_seq_part").count().collect()]
+        assert len(sizes) == asked and max(sizes) < 2 * min(sizes)
+        ranked = ordering.rank_globally(df, ordering.Ordering([F.asc("text")], row_number="rn"))
+        assert ranked.filter("rn = 100000").count() == 1 and ranked.agg(F.count_distinct("rn")).first()[0] == 100_000
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_publishing_is_all_or_nothing(spark):
+    path = scratch_path(spark, "test-published")
+    with pytest.raises(FileNotFoundError):
+        layout.published(spark, path)
+    first = layout.publish(spark.range(5), path)
+    broken = spark.range(5).select(F.raise_error(F.lit("dies")).cast("bigint").alias("id"))
+    with pytest.raises(Exception, match="dies"):
+        layout.publish(broken, path)
+    assert first.count() == layout.published(spark, path).count() == 5
+    layout.publish(spark.range(9), path, ["id"])
+    assert first.count() == 5 and layout.published(spark, path).count() == 9
+    assert layout.retire(spark, path) == []
+    layout.publish(spark.range(2), path)
+    # The broken version goes with those before the newest two complete ones, if it left a folder.
+    assert layout.retire(spark, path) in ([1], [1, 2]) and layout.published(spark, path).count() == 2
+
+
 def test_ntile_of_seven(spark):
     df = spark.range(7)
     got = ordering.rank_globally(df, ordering.Ordering([F.asc("id")], ntile={"t": 5}))
