@@ -815,3 +815,12 @@ def clustered_layout(spark, sf_dir):
     lines = table(spark, sf_dir, "lineitem")
     layout.write_clustered(lines, path, ["l_shipdate"], partition_by=["l_returnflag"])
     return spark.read.schema(lines.schema).parquet(path)
+
+
+@query
+def clustered_layout_two_keys(spark, sf_dir):
+    """Line items in an interleaved order of day, supplier and return flag: filters on any of them skip files."""
+    path = scratch_path(spark, "interleaved")
+    lines = table(spark, sf_dir, "lineitem")
+    layout.write_clustered(lines, path, ["l_shipdate", "l_suppkey", "l_returnflag"])
+    return spark.read.schema(lines.schema).parquet(path)

@@ -208,3 +208,52 @@ def test_ntile_of_seven(spark):
 def test_empty_input(spark):
     df = spark.range(0)
     assert ordering.rank_globally(df, ordering.Ordering([F.asc("id")], row_number="rn")).count() == 0
+
+
+def _files_opened(path, column, value):
+    """How many files a filter column = value cannot skip by their statistics, and how many there are."""
+    import glob
+
+    import pyarrow.parquet as pq
+
+    opened, all_files = 0, glob.glob(f"{path}/**/*.parquet", recursive=True)
+    for name in all_files:
+        groups = pq.ParquetFile(name).metadata
+        place = groups.schema.names.index(column)
+        spans = [groups.row_group(g).column(place).statistics for g in range(groups.num_row_groups)]
+        opened += any(not x.has_min_max or x.min <= value <= x.max for x in spans)
+    return opened, len(all_files)
+
+
+def test_interleaved_layout_skips_files_by_every_key(spark, tmp_path):
+    rows = spark.range(60_000).select(
+        F.pmod(F.xxhash64("id"), F.lit(10_000)).alias("a"),
+        F.concat(F.lit("s"), F.lpad(F.pmod(F.xxhash64("id", F.lit(1)), F.lit(5_000)).cast("string"), 5, "0")).alias("b"),
+        "id",
+    )
+    settings = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        layout.write_clustered(rows, f"{tmp_path}/both", ["a", "b"])
+        layout.write_clustered(rows, f"{tmp_path}/one", ["a"])
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    stored = spark.read.parquet(f"{tmp_path}/both")
+    assert stored.exceptAll(rows).isEmpty() and stored.count() == 60_000
+    assert _files_opened(f"{tmp_path}/one", "b", "s02500")[0] > 55
+    for column, value in (("a", 5_000), ("b", "s02500"), ("a", 17), ("b", "s04990")):
+        opened, files = _files_opened(f"{tmp_path}/both", column, value)
+        assert files == 64 and opened <= 20, (column, value, opened, files)
+
+
+def test_interleaved_layout_takes_nulls_few_values_and_no_rows(spark, tmp_path):
+    rows = spark.createDataFrame([(None, "x", 1), (2, None, 2), (2, "x", 3), (None, None, 4), (2, "x", 3)], "a int, b string, c int")
+    for n, frame in enumerate((rows, rows.limit(0), rows.select(F.lit(None).cast("date").alias("a"), "b", "c"))):
+        layout.write_clustered(frame, f"{tmp_path}/{n}", ["a", "b"])
+        back = spark.read.schema(frame.schema).parquet(f"{tmp_path}/{n}")
+        assert sorted(map(str, back.collect())) == sorted(map(str, frame.collect()))
+    layout.write_clustered(rows, f"{tmp_path}/parts", ["a", "c"], partition_by=["b"])
+    assert spark.read.parquet(f"{tmp_path}/parts").count() == 5
