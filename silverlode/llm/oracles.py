@@ -92,3 +92,125 @@ select c.doc_id, coalesce(d.n_runs, 0)::bigint as n_runs, b.start::bigint as sta
     else array_to_string(list_filter(words, lambda w, k: not list_contains(g.places, k - 1)), ' ') end) as collapsed_sha256
 from cyclic c left join digests d using (doc_id) left join best b using (doc_id) left join gone g using (doc_id)
 """
+
+LINE_DEDUP = r"""
+with texts as (
+  select row_number() over () as r, doc_id, string_split(coalesce(text, ''), chr(10)) as lines from documents),
+placed as (
+  select r, doc_id, generate_subscripts(lines, 1) as n, unnest(lines) as line from texts),
+keyed as (
+  select *, translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as key
+  from placed),
+repeated as (
+  select key, max(doc_id) as keeper from keyed where length(key) >= 40 group by key having count(distinct doc_id) >= 5),
+marked as (
+  select k.*, p.key is not null and k.doc_id is distinct from p.keeper as gone from keyed k left join repeated p on k.key = p.key)
+select any_value(doc_id) as doc_id, count(*)::bigint as n_lines, count(*) filter (where gone)::bigint as n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) order by n) filter (where not gone), '')) as kept_sha256
+from marked group by r
+"""
+
+# Windows and texts are joined on the word sequence itself, window length by window length.
+DECONTAMINATE = r"""
+with said as (
+  select row_number() over () as r, doc_id,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as words
+  from documents),
+asked as (
+  select item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as words
+  from benchmark),
+windows as (
+  select distinct item_id, least(len(words), 10) as size, array_to_string(words[i : i + least(len(words), 10) - 1], ' ') as passage
+  from asked, unnest(range(1, greatest(len(words) - 10, 0) + 2)) as u(i) where len(words) > 0),
+sizes as (select distinct size from windows),
+stretches as (
+  select r, i, size, array_to_string(words[i : i + size - 1], ' ') as passage
+  from said, sizes, unnest(range(1, greatest(len(words) - size + 2, 1))) as u(i)),
+hits as (
+  select s.r, s.i, s.size, w.item_id from stretches s join windows w on s.size = w.size and s.passage = w.passage),
+covered as (
+  select r, count(distinct u.place) as n_hit from (select distinct r, i, size from hits), unnest(range(i, i + size)) as u(place) group by r),
+found as (
+  select r, count(*) as n_items, string_agg(item, ',' order by item) as items
+  from (select distinct r, item_id::varchar as item from hits where item_id is not null) group by r)
+select doc_id, len(words)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit, coalesce(n_items, 0)::bigint as n_items,
+  sha256(coalesce(items, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from said left join covered using (r) left join found using (r)
+"""
+
+WARC_CHAIN = r"""
+with payloads as (
+  select page_id, strlen(coalesce(html, '')) as size, sha1(coalesce(html, '')) as digest from pages),
+newest as (select digest, max(page_id) as page_id from payloads where size >= 1000 group by digest)
+select p.page_id, size::bigint as payload_bytes, p.digest as payload_digest,
+  case when n.page_id > p.page_id then 'revisit' else 'response' end as record_type,
+  case when n.page_id > p.page_id then n.page_id end as refers_to
+from payloads p left join newest n on p.digest = n.digest and p.size >= 1000
+"""
+
+# Matches and what lies between them, in turn, give the places.
+SECRET_SCAN = r"""
+with rules(rank, kind, pattern) as (values
+  (0, 'assign', '(?i)(password|passwd|secret|token|api_?key)["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)'),
+  (1, 'access', 'AKIA[A-Z0-9]+'),
+  (2, 'hex', '[0-9a-f]+'),
+  (3, 'pem', '-----BEGIN [A-Z ]*PRIVATE KEY-----'),
+  (4, 'github', 'gh[pousr]_[A-Za-z0-9]{36,}'),
+  (5, 'jwt', 'eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}')),
+texts as (select row_number() over () as r, doc_id, coalesce(text, '') as text from documents),
+matched as (
+  select r, rank, kind, pattern, string_split_regex(text, pattern) as gaps, regexp_extract_all(text, pattern) as found
+  from texts, rules where regexp_matches(text, pattern)),
+numbered as (
+  select r, rank, kind, u.nth, length(gaps[u.nth]) as gap, found[u.nth] as piece from matched, unnest(range(1, len(found) + 1)) as u(nth)),
+placed as (
+  select *, (sum(gap + length(piece)) over (partition by r, rank order by nth))::bigint as stop from numbered),
+spans as (
+  select r, rank, kind, stop - length(piece) as start, kind || ':' || (stop - length(piece)) || ':' || stop as span from placed
+  where case rank
+    when 0 then length(regexp_extract(piece,
+      '(?i)(password|passwd|secret|token|api_?key)["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)', 2)) >= 6
+    when 1 then length(piece) >= 20 when 2 then length(piece) >= 24 else true end),
+listed as (
+  select r, count(*) filter (where rank = 0) as n_assign, count(*) filter (where rank = 1) as n_access, count(*) filter (where rank = 2) as n_hex,
+    string_agg(span, ',' order by start, rank) filter (where rank <= 2) as base, string_agg(span, ',' order by start, rank) as spans
+  from spans group by r)
+select doc_id, coalesce(n_assign, 0)::bigint as n_assign, coalesce(n_access, 0)::bigint as n_access, coalesce(n_hex, 0)::bigint as n_hex,
+  sha256(coalesce(base, '')) as base_sha256, coalesce(spans, '') as spans
+from texts left join listed using (r)
+"""
+
+QUALITY_RULES = r"""
+with texts as (
+  select row_number() over () as r, doc_id, coalesce(text, '') as text,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as words
+  from documents),
+counted as (
+  select r, doc_id, len(words)::bigint as n_words, coalesce(list_sum(list_transform(words, lambda w: length(w))), 0)::bigint as word_chars,
+    length(regexp_replace(text, '[^#*$%&|<>]+', '', 'g'))::bigint as n_symbols
+  from texts),
+windows as (
+  select r, i, array_to_string(words[i : i + 4], ' ') as said from texts, unnest(range(1, greatest(len(words) - 3, 1))) as u(i)),
+twice as (select r, i from windows qualify count(*) over (partition by r, said) > 1),
+repeats as (select r, count(distinct u.place) as n_repeat_words from twice, unnest(range(i, i + 5)) as u(place) group by r),
+lines as (
+  select r, line, regexp_extract_all(line, '[^\x20\x09-\x0D]+') as words
+  from (select r, unnest(string_split(text, chr(10))) as line from texts)),
+measured as (
+  select r, line, len(words) as n, coalesce(list_sum(list_transform(words, lambda w: length(w))), 0) as chars,
+    len(list_filter(words, lambda w: regexp_matches(w, '[#*$%&<>]|!!'))) as marked,
+    len(list_filter(string_split_regex(line, '[ \t]'), lambda t: t in ('|', '»', '·', '>'))) as separators,
+    regexp_matches(line, 'all rights reserved|accept cookies|cookie policy|enable javascript|lorem ipsum|privacy policy|sign up for our newsletter|terms of service|terms of use', 'i') as furnished
+  from lines),
+judged as (
+  select r, count(*) filter (where n > 0) - count(distinct line) filter (where n > 0) as n_dup_lines,
+    coalesce(sum(chars) filter (where 100 * marked > 50 * n or (separators >= 2 and n < 4 * (separators + 1)) or (furnished and n <= 12)), 0) as lost
+  from measured group by r)
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines::bigint as n_dup_lines, coalesce(n_repeat_words, 0)::bigint as n_repeat_words,
+  n_words < 10 or 100 * coalesce(n_repeat_words, 0) > 20 * n_words as base_failed,
+  not (n_words < 10 or 100 * coalesce(n_repeat_words, 0) > 20 * n_words) and 100 * lost <= 50 * word_chars as kept
+from counted join judged using (r) left join repeats using (r)
+"""

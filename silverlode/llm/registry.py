@@ -23,11 +23,19 @@ from silverlode.llm import (
     warc,
 )
 from silverlode.llm.common import WORD_PATTERN, let, read_table
-from silverlode.llm.oracles import FILTER_AUDIT, PERIODIC_RUNS
+from silverlode.llm.oracles import DECONTAMINATE, FILTER_AUDIT, LINE_DEDUP, PERIODIC_RUNS, QUALITY_RULES, SECRET_SCAN, WARC_CHAIN
 from silverlode.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {"op11_filter_audit": FILTER_AUDIT, "op12_periodic_runs": PERIODIC_RUNS}
+ORACLES: dict[str, str] = {
+    "op2_secret_scan": SECRET_SCAN,
+    "op4_quality_rules": QUALITY_RULES,
+    "op6_warc_chain": WARC_CHAIN,
+    "op7_line_dedup": LINE_DEDUP,
+    "op8_decontaminate": DECONTAMINATE,
+    "op11_filter_audit": FILTER_AUDIT,
+    "op12_periodic_runs": PERIODIC_RUNS,
+}
 
 # The rules of the contract.
 URL_RULES = (
