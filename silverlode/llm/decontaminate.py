@@ -215,7 +215,10 @@ def find_passages(
     return rows.join(results, "key").select("row.*", F.col("result").alias(out))
 
 
-def drop_contaminated(docs: DataFrame, items: DataFrame, plan: DecontaminationPlan = DecontaminationPlan()) -> DataFrame:
+def drop_contaminated(
+    docs: DataFrame, items: DataFrame, plan: DecontaminationPlan = DecontaminationPlan(), *, id_column: str = "doc_id", text: str = "text"
+) -> DataFrame:
     """The documents that hold no benchmark passage, in the columns of ``docs``."""
-    found = find_passages(docs, items, plan, out="_benchmark")
-    return found.filter("_benchmark.n_hit = 0").select(*docs.columns)
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col(id_column).alias("id"), F.col(text).alias("text"))
+    found = find_passages(rows, items, plan, id_column="id", out="benchmark")
+    return found.filter("benchmark.n_hit = 0").select("row.*")

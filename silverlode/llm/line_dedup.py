@@ -139,6 +139,7 @@ def drop_repeated_lines(
 
 def clean_lines(docs: DataFrame, plan: LineDedupPlan = LineDedupPlan(), *, id_column: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with the repeated lines gone from their texts; null texts stay null."""
-    done = drop_repeated_lines(docs, plan, id_column=id_column, text=text, out="_lines")
-    kept = F.when(F.col(text).isNotNull(), F.col("_lines.text")).alias(text)
-    return done.select(*(kept if c == text else F.col(c) for c in docs.columns))
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col(id_column).alias("id"), F.col(text).alias("text"))
+    done = drop_repeated_lines(rows, plan, id_column="id", text="text", out="lines")
+    kept = F.when(F.col("text").isNotNull(), F.col("lines.text")).alias(text)
+    return done.select(*(kept if c == text else F.col("row").getField(c).alias(c) for c in docs.columns))
