@@ -177,7 +177,8 @@ def _neighbours(plan: NearDedupPlan, emit: int, borders: bool, fine: bool):
 
     Pairs at most ``emit`` rows apart come out as (a, b, equal); of those further off, up to ``reach``, only
     the classes (b null). ``borders`` adds the first and last ``reach`` rows of the partition, whole.
-    ``fine``: the sketches hold the finer values too, and pairs must pass both bounds.
+    ``fine``: the sketches hold the finer values too, and pairs must pass both bounds; rows with more than
+    ``reach`` rows of their region before them are left out then, as regions of that length are compared whole.
     """
     zeros = np.array([(x & 15 == 0) + (x >> 4 == 0) for x in range(256)], np.uint8)
     least = 4 * plan.least_depth
@@ -196,7 +197,8 @@ def _neighbours(plan: NearDedupPlan, emit: int, borders: bool, fine: bool):
         return pa.RecordBatch.from_pydict(columns)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tail, head_left = None, plan.reach
+        # Rows of the first region of ``tail`` that are no longer in it.
+        tail, head_left, gone = None, plan.reach, 0
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -214,9 +216,12 @@ def _neighbours(plan: NearDedupPlan, emit: int, borders: bool, fine: bool):
             active = np.zeros(n, bool)
             region = np.zeros(n, np.int64)
             region[1:] = np.cumsum((tree[1:] != tree[:-1]) | (order[1:, :least] != order[:-1, :least]).any(axis=1))
+            place = np.arange(n) - np.searchsorted(region, region) + gone * (region == 0)
             for apart in range(1, min(plan.reach, n - 1) + 1):
                 later = np.arange(max(old, apart), n)
                 later = later[region[later] == region[later - apart]]
+                if fine:
+                    later = later[place[later] <= plan.reach]
                 if not len(later):
                     break
                 later = later[(label[later] != label[later - apart]).any(axis=1)]
@@ -237,7 +242,9 @@ def _neighbours(plan: NearDedupPlan, emit: int, borders: bool, fine: bool):
                     active[later - apart] = True
             if active.any():
                 yield found(rows.column("class").filter(pa.array(active)), None, None)
-            tail = rows.slice(max(0, n - plan.reach))
+            first = max(0, n - plan.reach)
+            gone = int(place[first])
+            tail = rows.slice(first)
         if borders and tail is not None:
             yield found(tail.column("class"), None, None, tail)
 
@@ -418,8 +425,9 @@ def near_duplicates(
     Words end at blanks and control characters; A-Z is lower-cased. A text with fewer words than a shingle
     is one shingle; null, empty and blank texts have none, are linked with nothing and stand alone. Rows
     with equal sets are linked. ``component_id`` is the least id of the component; rows without an id
-    never give it, but belong to components. Rows that repeat get equal results; an empty table gives an
-    empty one. Only the two columns named are read.
+    never give it, but belong to components; in a component without any id it is null, and the rows of the least
+    ``key`` are kept. Rows that repeat get equal results; an empty table gives an empty one. Only the two
+    columns named are read.
     """
     rows = docs.select(F.col(id_column).alias("id"), row_key(id_column, text).alias("key"), F.col(text).alias("text"))
     signed = stash(signatures(rows, plan), "signatures")
@@ -445,13 +453,14 @@ def near_duplicates(
     regions = stash(crowded(chosen.join(labels, "class"), plan), "long-regions")
     labels = _merged(labels, stash(crowded_links(regions, sets, plan), "links"))
 
-    labelled = classes.select("class", "id").join(labels, "class", "left").select("class", "id", F.coalesce("label", "class").alias("label"))
-    least = labelled.groupBy("label").agg(F.min("id").alias("component_id"))
-    named = labelled.join(least, "label").select("class", "component_id")
-    component = F.when(F.col("class").isNull(), F.col("id")).otherwise(F.col("component_id"))
-    return signed.join(named, "class", "left").select(
-        F.col("id").alias(id_column), "key", "n_shingles", component.alias("component_id"), F.col("id").eqNullSafe(component).alias("kept")
-    )
+    labelled = classes.select("class", "id", "key").join(labels, "class", "left").withColumn("label", F.coalesce("label", "class"))
+    least = labelled.groupBy("label").agg(F.min("id").alias("component_id"), F.min("key").alias("first_key"))
+    named = labelled.select("class", "label").join(least, "label").select("class", "component_id", "first_key")
+    first = F.coalesce(F.col("id") == F.col("component_id"), F.col("component_id").isNull() & (F.col("key") == F.col("first_key")))
+    linked = signed.filter("class is not null").join(named, "class").select("id", "key", "n_shingles", "component_id", first.alias("kept"))
+    # Rows without words have no class to be joined on.
+    alone = signed.filter("class is null").select("id", "key", "n_shingles", F.col("id").alias("component_id"), F.lit(True).alias("kept"))
+    return linked.union(alone).withColumnRenamed("id", id_column)
 
 
 def keep_one_of_each(docs: DataFrame, plan: NearDedupPlan = NearDedupPlan(), *, id_column: str = "doc_id", text: str = "text") -> DataFrame:
