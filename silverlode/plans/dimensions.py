@@ -69,9 +69,14 @@ def dim_customers(customers: DataFrame, sales: DataFrame, as_of: dt.date | None)
     ``sales`` is any frame of sales lines with ``gross_margin`` (enriched or merely priced): the
     join to the customers decides which ids count.
     """
+    return describe_customers(customers, order_rollup(sales), as_of)
+
+
+def describe_customers(customers: DataFrame, history: DataFrame, as_of: dt.date | None) -> DataFrame:
+    """The customer dimension from conformed customers and an ``order_rollup``, derived or kept."""
     today = as_of_date(as_of)
     counts = ("order_line_count", "order_count", "total_units", "lifetime_sales_amount")
-    rolled = with_customer_sk(customers).join(order_rollup(sales), "customer_id", "left")
+    rolled = with_customer_sk(customers).join(history, "customer_id", "left")
     return rolled.select(
         "customer_sk",
         "customer_id",

@@ -13,6 +13,7 @@ from silverlode.operators.layout import materialise, published
 from silverlode.operators.quality import run_checks
 from silverlode.operators.versioned import VersionedTable
 from silverlode.plans import checks, conform, dimensions, fact, marts, staging
+from silverlode.plans.customer_orders import OrderHistory
 from silverlode.plans.silver_sales import SalesStore
 from silverlode.session import stash
 from silverlode.sources.bronze import read_bronze
@@ -173,8 +174,8 @@ def build(
     """Build every gold table and mart; returns the stored tables.
 
     Dimensions and marts are rebuilt, the fact is refreshed over its lookback window (and, with ``late``, by
-    all lines of new batches), or rebuilt with ``full``. Only new batches of sales are parsed; the order
-    history of the customers and the fact read the stored lines, with only the columns needed.
+    all lines of new batches), or rebuilt with ``full``. Only new batches of sales are parsed, and the order
+    history of the customers reads only their lines unless product costs changed.
     """
     gold = settings.layer("gold")
     clean = Silver(raw)
@@ -202,10 +203,11 @@ def build(
     # The fact comes first, as it parses the new batches; it takes the customers from their conformed form.
     conformed = stash(conform.with_customer_sk(conformed_customers(clean, settings)), "customers")
     refresh_sales(table, sales_store, conformed, lookup, settings, full, late)
-    clean.sales = sales_store.read()
+    history = OrderHistory(spark, settings, sales_store)
+    history.refresh(lookup, full)
     people = keep(
         "dim_customers",
-        customer_dimension(clean, conformed, lookup, settings),
+        dimensions.describe_customers(conformed, history.read(lookup), settings.as_of),
         ("customer_key", "country"),
     )
     sales = stored["fct_sales"] = table.read()

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from silverlode.config import Settings
 from silverlode.operators import dedup, layout, ordering, quality, reject, scd, versioned
-from silverlode.plans import checks, conform, dimensions, fact, marts, silver_sales, staging, warehouse
+from silverlode.plans import checks, conform, customer_orders, dimensions, fact, marts, silver_sales, staging, warehouse
 from silverlode.registry.raw_extracts import DerivedExtracts as raw
 from silverlode.registry.raw_extracts import raw_frame
 from silverlode.registry.raw_extracts import read_table as table
@@ -277,6 +277,22 @@ def fct_sales_late_rows(spark, sf_dir):
     return _two_batches(spark, sf_dir, late=True)
 
 
+@query
+def dim_customers_from_history(spark, sf_dir):
+    """The customers after two deliveries that share orders, with the order history kept between two refreshes."""
+    settings = Settings(root=scratch_path(spark, "lake"), as_of=AS_OF)
+    feed = raw(spark, sf_dir).sales
+    second = F.crc32(F.concat_ws("|", "sls_ord_num", "sls_prd_key")) % 3 == 0
+    sides = warehouse.store_sides(clean(spark, sf_dir), settings)
+    store = silver_sales.SalesStore(spark, settings)
+    history = customer_orders.OrderHistory(spark, settings, store)
+    for part in (feed.filter(~second), feed.filter(second).withColumn("_batch_id", F.lit("b2"))):
+        bronze.write_bronze(part, settings.layer("bronze"), silver_sales.TABLE, "append")
+        store.refresh()
+        history.refresh(sides.lookup)
+    return dimensions.describe_customers(sides.people, history.read(sides.lookup), AS_OF)
+
+
 @query
 def replace_window(spark, sf_dir):
     """Delete-aware refresh: from the cut's month on exactly the source, without a third of its lines."""
