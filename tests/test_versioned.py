@@ -55,6 +55,25 @@ def test_repeated_update_key_is_an_error(spark, stored):
     assert content(stored) == [("a", "2014-01-05", "2014-01", 1)]
 
 
+def test_repeated_ids_are_replaced_together_where_they_are_allowed(spark):
+    table = fact.fact_table(spark, scratch_path(spark, "test-fact"), repeats=True)
+    table.upsert(frame(spark, ("a", "2014-01-05", 1), ("a", "2014-01-05", 1), ("b", "2014-01-05", 1), ("c", "2014-02-05", 1)))
+    table.upsert(frame(spark, ("a", "2014-01-05", 2), ("a", "2014-01-05", 3), ("d", "2014-01-06", 2)))
+    assert content(table) == [
+        ("a", "2014-01-05", "2014-01", 2), ("a", "2014-01-05", "2014-01", 3), ("b", "2014-01-05", "2014-01", 1),
+        ("c", "2014-02-05", "2014-02", 1), ("d", "2014-01-06", "2014-01", 2),
+    ]
+
+
+def test_changed_rows_read_rewritten_partitions_only(spark, stored):
+    first = stored.overwrite(frame(spark, ("a", "2014-01-05", 1), ("b", "2014-02-05", 1), ("e", "2014-02-05", 1)))
+    assert stored.changed(first).count() == 0
+    stored.upsert(frame(spark, ("b", "2014-02-05", 2), ("d", "2014-03-07", 2)))
+    changed = stored.changed(first)
+    assert sorted((r.sales_line_id, r.v) for r in changed.collect()) == [("b", 2), ("d", 2)]
+    assert not any("2014-01" in path for path in changed.inputFiles())
+
+
 def test_empty_target_and_empty_updates(spark, stored):
     assert stored.read() is None
     stored.upsert(frame(spark, ("a", "2014-01-05", 1)))
