@@ -14,6 +14,49 @@ from silverlode.operators.ordering import Ordering, rank_globally
 from silverlode.session import stash
 
 
+# The columns of the fact that each mart reads.
+MONTH_COLUMNS = (
+    "order_date",
+    "order_year_month",
+    "order_month_start",
+    "order_number",
+    "customer_sk",
+    "quantity",
+    "sales_amount",
+    "product_cost",
+    "discount_amount",
+    "gross_margin",
+    "days_to_ship",
+    "days_to_due",
+)
+PRODUCT_COLUMNS = (
+    "product_key",
+    "order_number",
+    "customer_sk",
+    "quantity",
+    "sales_amount",
+    "gross_margin",
+    "discount_amount",
+    "order_date",
+)
+CATEGORY_COLUMNS = (
+    "category_id",
+    "category_name",
+    "subcategory_name",
+    "product_line",
+    "requires_maintenance",
+    "product_key",
+    "order_number",
+    "customer_sk",
+    "quantity",
+    "sales_amount",
+    "gross_margin",
+)
+ACTIVITY_COLUMNS = ("customer_sk", "order_date", "order_number", "sales_amount")
+#: The columns of the customer dimension that the segments show.
+BUYER_COLUMNS = ("customer_sk", "customer_id", "customer_key", "customer_name", "gender", "age_band", "country")
+
+
 def _change(now: str, before: str):
     return ratio(F.col(now) - F.col(before), before, 4)
 
@@ -256,9 +299,7 @@ def rfm_segments(
         frequency.alias("frequency_orders"),
         F.sum("sales_amount").alias("monetary_value"),
     )
-    buyers = dim_customers.filter("is_customer").select(
-        "customer_sk", "customer_id", "customer_key", "customer_name", "gender", "age_band", "country"
-    )
+    buyers = dim_customers.filter("is_customer").select(*BUYER_COLUMNS)
     recency = days_between("last_order_date", as_of_date(as_of))
     by_id = F.asc_nulls_last("customer_id")
     # The last fifth scores 5, so the longest absence comes first.
