@@ -76,6 +76,32 @@ def test_skewed_joins_are_split_and_complete(spark, skewed, tiny_partitions):
     assert "isSkew=true" in query.executedPlan().toString() or "skew=true" in query.executedPlan().toString()
 
 
+def test_measures_and_customer_keys_do_not_travel_through_the_joins(spark, skewed):
+    from silverlode.plans import staging, warehouse
+
+    sales, people, items = skewed
+    clean = warehouse.Silver(None)
+    clean.sales = sales.drop(*staging.sales_measures())
+    items = items.withColumn("product_sk", F.md5("product_key"))
+    built = warehouse.fact_lines(clean, conform.with_customer_sk(people), items)
+    derived = ("days_to_ship", "days_to_due", "days_in_transit", "discount_amount", "realised_unit_price")
+    assert [tuple(map(float, r)) for r in built.select(*derived).distinct().collect()] == [(0, 0, 0, 0, 10)]
+    keys = conform.with_customer_sk(people).select("customer_id", F.col("customer_sk").alias("known"))
+    found = built.join(keys, "customer_id", "left")
+    assert found.filter(~F.col("customer_sk").eqNullSafe(F.col("known"))).count() == 0
+    assert found.filter("customer_sk is null").count() == sales.filter("customer_id >= 1900").count()
+    with_own = conform.enrich_sales(sales, people, items)
+    assert with_own.select("discount_amount").distinct().first()[0] == 10  # measures that lines have are kept
+
+
+def test_narrow_joins_are_spread_by_the_bytes_of_the_table(spark):
+    from silverlode.registry.spark_queries import QUERIES
+
+    checked = QUERIES["dq_rejection_rate_exceeded"](spark, "/root/testdata/sf0.001")
+    # Not merged into few tasks by the small size of what is exchanged.
+    assert checked._jdf.queryExecution().executedPlan().toString().count("REPARTITION_BY_NUM") >= 2
+
+
 def test_hot_key_sends_one_row_per_task_to_the_dedup(spark, skewed):
     """Sixty thousand rows of one key: the exchange carries one row per input partition."""
     sales, *_ = skewed

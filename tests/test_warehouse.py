@@ -62,6 +62,28 @@ def test_lookups_in_dimensions_give_the_same_fact(spark, world):
     assert as_rows(built, built.columns) == as_rows(stored["fct_sales"], built.columns)
 
 
+def test_keys_looked_up_on_the_sides_give_the_same_fact(spark, world):
+    _, settings, _, raw, stored = world
+    clean = warehouse.Silver(raw)
+    products = conform.product_lookup(conform.current_products(clean.products), clean.categories)
+    sides = warehouse.conformed_customers(clean, settings), products
+    lines = conform.without_measures(clean.sales)
+    built = fact.build_fact(lines, stored["dim_customers"], stored["dim_products"], sides)
+    assert as_rows(built, built.columns) == as_rows(stored["fct_sales"], built.columns)
+
+
+def test_marts_read_no_more_than_their_columns(spark, world):
+    stored = world[-1]
+    rows = stored["fct_sales"]
+    got = {
+        "agg_kpi__monthly_performance": marts.kpi_monthly(rows.select(*marts.MONTH_COLUMNS)),
+        "agg_products__performance": marts.product_performance(rows.select(*marts.PRODUCT_COLUMNS), stored["dim_products"]),
+        "agg_products__category_rollup": marts.category_rollup(rows.select(*marts.CATEGORY_COLUMNS)),
+    }
+    for name, mart in got.items():
+        assert as_rows(mart, mart.columns) == as_rows(stored[name], mart.columns)
+
+
 def test_checks(world):
     _, settings, _, raw, stored = world
     report = {(r["table_name"], r["check_name"]): r["status"] for r in warehouse.check(raw, stored, settings, stop_on_error=False)}
