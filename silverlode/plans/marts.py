@@ -10,6 +10,7 @@ from pyspark.sql import Window as W
 
 from silverlode.functions.calendar import as_of_date, calendar_attributes, days_between
 from silverlode.functions.measures import first_match, plain_average, ratio
+from silverlode.functions.text import packed_key
 from silverlode.operators.ordering import Ordering, rank_globally
 from silverlode.session import stash
 
@@ -211,11 +212,15 @@ def _classified(fact: DataFrame) -> DataFrame:
     )
 
 
-def category_sums(fact: DataFrame) -> DataFrame:
-    """Sums and distinct counts of the fact per category grain."""
-    return _classified(fact).groupBy(*CATEGORY_GRAIN).agg(
+def category_sums(fact: DataFrame, numbers: DataFrame | None = None) -> DataFrame:
+    """Sums and distinct counts of the fact per category grain, or, with ``numbers`` (a ``grain_number`` for each
+    grain of the fact), per number: a number and half of a hashed key cross the network for every order and buyer."""
+    lines, grain = _classified(fact), CATEGORY_GRAIN
+    if numbers is not None:
+        lines, grain = lines.join(numbers, list(CATEGORY_GRAIN)), ("grain_number",)
+    return lines.groupBy(*grain).agg(
         F.countDistinct("order_number").alias("order_count"),
-        F.countDistinct("customer_sk").alias("buyer_count"),
+        F.countDistinct(packed_key("customer_sk")).alias("buyer_count"),
         F.countDistinct("product_key").alias("product_count"),
         F.count(F.lit(1)).alias("order_line_count"),
         F.sum("quantity").alias("units_sold"),
@@ -229,15 +234,16 @@ def category_rollup(fact: DataFrame) -> DataFrame:
 
     Distinct orders, buyers and products are counted at this grain in the same aggregation.
     """
-    # A row per category, stored: the totals are added up from these rows, not from the fact again.
-    rolled = stash(category_sums(fact), "category-rollup")
     # The name apart: a maximum of texts would turn the big aggregate into a sort. Distinct
-    # combinations are a handful, combined on the map side.
+    # combinations are a handful, combined on the map side. They are stored with a number each.
     names = _classified(fact).select(*CATEGORY_GRAIN, "category_name").distinct()
     names = names.groupBy(*CATEGORY_GRAIN).agg(F.max("category_name").alias("category_name"))
+    names = stash(names.withColumn("grain_number", F.monotonically_increasing_id()), "category-names")
+    # A row per category, stored: the totals are added up from these rows, not from the fact again.
+    rolled = stash(category_sums(fact, names.drop("category_name")), "category-rollup")
     revenue, margin = rolled.agg(F.sum("gross_revenue")).scalar(), rolled.agg(F.sum("gross_margin")).scalar()
     has_margin = F.col("gross_margin") != 0
-    joined = rolled.join(names, list(CATEGORY_GRAIN)).withColumns({"_revenue": revenue, "_margin": margin})
+    joined = rolled.join(names, "grain_number").withColumns({"_revenue": revenue, "_margin": margin})
     return joined.select(
         "category_id",
         "category_name",

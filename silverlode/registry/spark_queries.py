@@ -76,9 +76,18 @@ class Gold:
     def fact(self) -> DataFrame:
         return warehouse.fact_lines(self.clean, self.sides.people, self.sides.lookup)
 
+    @property
+    def placed_fact(self) -> DataFrame:
+        """The fact gathered by month, to be stored by month."""
+        return warehouse.fact_lines(self.clean, self.sides.people, self.sides.lookup, by_month=True, whole=True)
+
     def stored_fact(self, *columns: str) -> DataFrame:
-        """Written once, as the warehouse does, for marts that read it more than once; in the columns they read."""
-        return stash(self.fact.select(*dict.fromkeys(columns)) if columns else self.fact, "fact")
+        """Written once, as the warehouse does, for marts that read it more than once; in the columns they read. The
+        customers' surrogate keys follow from their natural keys, which are a third as long, and are not stored."""
+        rows = self.fact
+        wanted = list(dict.fromkeys(columns)) or rows.columns
+        kept = dict.fromkeys("customer_key" if c == "customer_sk" else c for c in wanted)
+        return conform.with_customer_sk(stash(rows.select(*kept), "fact")).select(*wanted)
 
 
 def fact_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
