@@ -221,7 +221,9 @@ def scd2_events_hot_keys(spark, sf_dir):
 
 @query
 def fct_sales_full(spark, sf_dir):
-    return fact_frame(spark, sf_dir).drop("bronze_ingested_at")
+    gold = Gold(spark, sf_dir)
+    rows = warehouse.fact_lines(gold.clean, gold.sides.people, gold.sides.lookup, whole=True)
+    return rows.drop("bronze_ingested_at")
 
 
 @query
