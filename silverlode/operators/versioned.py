@@ -111,10 +111,11 @@ class VersionedTable:
 
     # --- writing -------------------------------------------------------------------------------
 
-    def overwrite(self, df: DataFrame, sort: Sequence[str] = ()) -> int:
-        """Full refresh: the new version holds exactly ``df``."""
+    def overwrite(self, df: DataFrame, sort: Sequence[str] = (), placed: bool = False) -> int:
+        """Full refresh: the new version holds exactly ``df``. ``placed``: the frame gathers the rows of a partition
+        itself, before it derives columns that need not travel."""
         number = self._next()
-        self._write_rows(df, number, sort)
+        self._write_rows(df, number, sort, placed)
         return self._publish(number, {part: number for part in self._written(number)}, df.schema, {})
 
     def upsert(self, updates: DataFrame, sort: Sequence[str] = ()) -> int:
@@ -161,6 +162,8 @@ class VersionedTable:
         target = self.read(version)
         if target is None:
             return self.overwrite(rows, sort)
+        # Read for its partitions and for its rows.
+        rows = stash(rows, "window")
         parts = target.select(self.partition).filter(window_parts).distinct()
         parts = parts.union(rows.select(self.partition).distinct())
         touched = {self._name(row[0]) for row in parts.collect()}
@@ -245,12 +248,12 @@ class VersionedTable:
         used += child_folders(self.spark, f"{self.path}/versions")
         return 1 + max([int(name.split("=")[1]) for name in used], default=0)
 
-    def _write_rows(self, df: DataFrame, number: int, sort: Sequence[str]) -> None:
+    def _write_rows(self, df: DataFrame, number: int, sort: Sequence[str], placed: bool = False) -> None:
         # REBALANCE groups a partition's rows into few files and splits a big month over many tasks.
-        placed = df.hint("rebalance", self.partition)
+        rows = df if placed else df.hint("rebalance", self.partition)
         if sort:
-            placed = placed.sortWithinPartitions(self.partition, *sort)
-        placed.write.partitionBy(self.partition).parquet(f"{self.path}/data/load={number}")
+            rows = rows.sortWithinPartitions(self.partition, *sort)
+        rows.write.partitionBy(self.partition).parquet(f"{self.path}/data/load={number}")
 
     def _written(self, number: int) -> list[str]:
         return child_folders(self.spark, f"{self.path}/data/load={number}")

@@ -8,16 +8,20 @@ a broadcast; Spark broadcasts what it measures to be small, and splits skewed so
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
+from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from silverlode.functions.calendar import age_band, as_of_date, days_between, full_years
+from silverlode.functions.calendar import age_band, as_of_date, days_between, full_years, year_month
 from silverlode.functions.labels import preferred_gender
 from silverlode.functions.measures import margin_measures
 from silverlode.functions.text import dashed_key, hashed_key
 from silverlode.operators.dedup import pick_version
 from silverlode.plans.staging import sales_measures
+from silverlode.session import stash
 
 
 def conform_customers(
@@ -58,6 +62,11 @@ def with_customer_sk(customers: DataFrame) -> DataFrame:
     return customers.withColumn("customer_sk", hashed_key("cust", "customer_key"))
 
 
+def product_sk(valid_from: str) -> Column:
+    """Surrogate key of a product version."""
+    return hashed_key("prod", "product_key", valid_from)
+
+
 def current_products(versions: DataFrame) -> DataFrame:
     """One version per product: an open one first, then the latest start, then the highest id."""
     keyed = versions.filter(F.col("product_key").isNotNull())
@@ -117,10 +126,50 @@ def product_lookup(
     )
     if dim_products is None:
         return described
-    keys = dim_products.filter("is_current").select("product_key", "product_sk")
+    # The key, and what it is made of.
+    keys = dim_products.filter("is_current").select(
+        "product_key", "product_sk", F.col("valid_from_date").alias("product_valid_from")
+    )
     return described.join(keys, "product_key", "left")
 
 
+#: Describing columns with few values each, by their names on the side and in the fact.
+CUSTOMER_LABELS = {
+    "gender": "customer_gender",
+    "marital_status": "customer_marital_status",
+    "age_band": "customer_age_band",
+    "country": "customer_country",
+}
+PRODUCT_LABELS = {c: c for c in ("product_line", "category_id", "category_name", "subcategory_name", "requires_maintenance")}
+#: So many combinations of labels are numbered at most.
+_MOST_LABELS = 10_000
+
+
+@dataclass(frozen=True)
+class Labels:
+    """The combinations of some columns, each with a number."""
+
+    number: str
+    rows: DataFrame
+
+
+def number_labels(side: DataFrame, names: dict[str, str], number: str) -> tuple[DataFrame, Labels | None]:
+    """A side with one number in place of its labels, and the labels of each number, stored.
+
+    The lines then carry the number and get the labels where they are needed, from a broadcast of at most 10,000
+    rows. A side with more combinations stays as it is.
+    """
+    combinations = side.select(*[F.col(old).alias(new) for old, new in names.items()]).distinct()
+    counted = combinations.limit(_MOST_LABELS + 1).withColumn(number, F.monotonically_increasing_id())
+    rows = stash(counted, "labels")
+    if rows.count() > _MOST_LABELS:
+        return side, None
+    renamed = rows.select(number, *[F.col(new).alias(f"_{new}") for new in names.values()])
+    same = reduce(Column.__and__, [F.col(old).eqNullSafe(F.col(f"_{new}")) for old, new in names.items()])
+    numbered = side.join(F.broadcast(renamed), same).drop(*names, *[f"_{new}" for new in names.values()])
+    return numbered, Labels(number, rows)
+
+
 def _with_margins(joined: DataFrame) -> DataFrame:
     margins = margin_measures("sales_amount", "quantity", "unit_price", "product_cost")
     line_id = dashed_key("order_number", "product_key")
@@ -178,29 +227,42 @@ ENRICHED_COLUMNS = (
 )
 
 
-def enrich_sales(sales: DataFrame, customers: DataFrame, products: DataFrame) -> DataFrame:
+def enrich_sales(
+    sales: DataFrame,
+    customers: DataFrame,
+    products: DataFrame,
+    by_month: bool = False,
+    labels: Sequence[Labels] = (),
+) -> DataFrame:
     """One row per sales line with product, hierarchy, margins and customer attributes.
 
     A line whose customer or product is unknown stays, with nulls. ``products`` is a
     ``product_lookup``; when it or ``customers`` carries a surrogate key, so does the result. Measures that the lines
-    lack (``without_measures``) are derived after the joins, with the same values.
+    lack (``without_measures``) are derived after the joins, with the same values. With ``by_month`` the joined lines
+    are gathered by order month, as a table with a folder per month stores them, before anything is derived. ``labels`` are those that the sides have as a number only; where products
+    carry the first day of their version (``product_valid_from``), their surrogate key is derived from it.
     """
     sk = [c for c in ("customer_sk",) if c in customers.columns]
     buyer = customers.select(
         F.col("customer_id").alias("_buyer"),
         "customer_key",
         "customer_name",
-        F.col("gender").alias("customer_gender"),
-        F.col("marital_status").alias("customer_marital_status"),
-        F.col("age_band").alias("customer_age_band"),
-        F.col("country").alias("customer_country"),
+        *[F.col(old).alias(new) for old, new in CUSTOMER_LABELS.items() if old in customers.columns],
+        *[x.number for x in labels if x.number in customers.columns],
         *sk,
     )
-    sk += [c for c in ("product_sk",) if c in products.columns]
+    dated = "product_valid_from" in products.columns
+    sk += [c for c in ("product_sk",) if dated or c in products.columns]
     # What can be computed after the joins need not travel through them, and the product, whose columns are the wider
     # ones, is joined last.
     joined = sales.join(buyer, F.col("customer_id") == F.col("_buyer"), "left").drop("customer_id")
     joined = joined.withColumnRenamed("_buyer", "customer_id").join(products, "product_key", "left")
+    if by_month:
+        joined = joined.withColumn("_month", year_month("order_date")).hint("rebalance", "_month")
+    for known in labels:
+        joined = joined.join(F.broadcast(known.rows), known.number, "left")
+    if dated:
+        joined = joined.withColumn("product_sk", product_sk("product_valid_from"))
     late = {n: c for n, c in sales_measures().items() if n not in sales.columns}
     enriched = _with_margins(joined.withColumns(late) if late else joined)
     return enriched.select(*ENRICHED_COLUMNS, *sk)

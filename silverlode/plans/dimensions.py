@@ -8,9 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from silverlode.functions.calendar import as_of_date, calendar_attributes, days_between
-from silverlode.functions.text import hashed_key
 from silverlode.operators.scd import scd2
-from silverlode.plans.conform import with_customer_sk
+from silverlode.plans.conform import product_sk, with_customer_sk
 
 
 def date_spine(spark: SparkSession, start: dt.date, end: dt.date, name: str = "date_key") -> DataFrame:
@@ -127,7 +126,7 @@ def dim_products(versions: DataFrame, categories: DataFrame) -> DataFrame:
         "category_id", "category_name", "subcategory_name", "requires_maintenance"
     )
     return history.join(hierarchy, "category_id", "left").select(
-        hashed_key("prod", "product_key", "valid_from_date").alias("product_sk"),
+        product_sk("valid_from_date").alias("product_sk"),
         "product_key",
         "product_version_id",
         "product_key_qualified",

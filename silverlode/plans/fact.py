@@ -87,7 +87,7 @@ def build_fact(
     )
     items = dim_products.filter("is_current").select("product_key", "product_sk")
     if sides is not None:
-        customers, products = (side.drop("customer_sk", "product_sk") for side in sides)
+        customers, products = (side.drop("customer_sk", "product_sk", "product_valid_from") for side in sides)
         known = people.drop("_key").withColumnRenamed("_id", "customer_id")
         buyers = customers.join(known, "customer_id", "left")
         return fact_rows(enrich_sales(enriched, buyers, products.join(items, "product_key", "left")))
@@ -109,15 +109,17 @@ def fact_table(spark: SparkSession, path: str, repeats: bool = False) -> Version
     return VersionedTable(spark, path, FACT_KEY, FACT_PARTITION, repeats)
 
 
-def refresh_fact(table: VersionedTable, rows: DataFrame, days: int, full: bool = False) -> int:
+def refresh_fact(
+    table: VersionedTable, rows: DataFrame, days: int, full: bool = False, placed: bool = False
+) -> int:
     """Write the fact; returns the new version.
 
     Full: exactly ``rows``. Otherwise the rows from ``days`` before the stored newest order date on
     are upserted: late and restated orders in that window are corrected, older ones and deletions
-    wait for a full refresh.
+    wait for a full refresh. ``placed`` as in ``VersionedTable.overwrite``.
     """
     if full or table.version() is None:
-        return table.overwrite(rows, sort=FACT_SORT)
+        return table.overwrite(rows, sort=FACT_SORT, placed=placed)
     return table.upsert(lookback(rows, table.read(), "order_date", days), sort=FACT_SORT)
 
 

@@ -131,11 +131,20 @@ def store_sides(clean: Silver, settings: Settings) -> Sides:
         return Sides(items, people.result(), stored_lookup(clean, items))
 
 
-def fact_lines(clean: Silver, customers: DataFrame, lookup: DataFrame) -> DataFrame:
+def fact_lines(
+    clean: Silver, customers: DataFrame, lookup: DataFrame, by_month: bool = False, whole: bool = False
+) -> DataFrame:
     """All fact rows. ``customers`` is the dimension or the conformed frame. Two joins of the sales lines in all;
-    measures and the customers' surrogate keys follow from joined columns and do not travel through them."""
-    lines = conform.without_measures(clean.sales)
-    enriched = conform.enrich_sales(lines, customers.drop("customer_sk"), lookup)
+    measures and surrogate keys follow from joined columns and do not travel through them, nor, with ``by_month``,
+    through the exchange that gathers the lines of a month for ``VersionedTable.overwrite``. With ``whole``, for
+    consumers of all columns, labels with few values travel as one number per side."""
+    lines, labels = conform.without_measures(clean.sales), []
+    customers = customers.drop("customer_sk")
+    if whole:
+        customers, buyers = conform.number_labels(customers, conform.CUSTOMER_LABELS, "_customer_labels")
+        lookup, kinds = conform.number_labels(lookup, conform.PRODUCT_LABELS, "_product_labels")
+        labels = [x for x in (buyers, kinds) if x is not None]
+    enriched = conform.enrich_sales(lines, customers, lookup, by_month, labels)
     return fact.fact_rows(conform.with_customer_sk(enriched))
 
 
@@ -166,8 +175,8 @@ def refresh_sales(
     lines = sales.read() if since is None else sales.recent(since, fresh if late else ())
     clean = Silver(None)
     clean.sales = lines
-    rows = fact_lines(clean, customers, lookup)
-    return table.overwrite(rows, fact.FACT_SORT) if since is None else table.upsert(rows, fact.FACT_SORT)
+    rows = fact_lines(clean, customers, lookup, by_month=since is None, whole=since is None)
+    return table.overwrite(rows, fact.FACT_SORT, placed=True) if since is None else table.upsert(rows, fact.FACT_SORT)
 
 
 def build(

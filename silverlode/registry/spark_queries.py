@@ -272,7 +272,8 @@ def _two_batches(spark: SparkSession, sf_dir: str, late: bool) -> DataFrame:
     first = clean(spark, sf_dir)
     first.sales = store.read()
     stored = fact.fact_table(spark, f"{settings.layer('gold')}/fct_sales", repeats=True)
-    stored.overwrite(_stored_before(warehouse.fact_lines(first, sides.people, sides.lookup)), fact.FACT_SORT)
+    lines = warehouse.fact_lines(first, sides.people, sides.lookup, by_month=True, whole=True)
+    stored.overwrite(_stored_before(lines), fact.FACT_SORT, placed=True)
     deliver(feed.filter(~early).withColumn("_batch_id", F.lit("b2")))
     warehouse.refresh_sales(stored, store, sides.people, sides.lookup, settings, late=late)
     return stored.read().drop("bronze_ingested_at")
@@ -310,9 +311,12 @@ def dim_customers_from_history(spark, sf_dir):
 @query
 def replace_window(spark, sf_dir):
     """Delete-aware refresh: from the cut's month on exactly the source, without a third of its lines."""
-    rows = stash(fact_frame(spark, sf_dir).drop("bronze_ingested_at"), "fact")
+    gold = Gold(spark, sf_dir)
     stored = fact.fact_table(spark, scratch_path(spark, "fact"))
-    fact.refresh_fact(stored, _stored_before(rows), SETTINGS.lookback_days, full=True)
+    whole = gold.placed_fact.drop("bronze_ingested_at")
+    fact.refresh_fact(stored, _stored_before(whole), SETTINGS.lookback_days, full=True, placed=True)
+    # The fact again, not stored in between: of its lines only those of the window are joined.
+    rows = gold.fact.drop("bronze_ingested_at")
     fact.replace_recent(stored, rows.filter(F.col("quantity") % 3 != 0), dt.date(2001, 5, 15))
     return stored.read()
 
