@@ -210,3 +210,53 @@ def test_partition_names_with_special_characters(spark):
     table.overwrite(rows)
     table.upsert(rows.filter("k = 'a'").withColumn("v", F.lit(2)))
     assert sorted(map(tuple, table.read().select("k", "p", "v").collect())) == [("a", "x:1/2 %", 2), ("b", "y=ü", 1)]
+
+
+def test_new_rows_lie_beside_the_old_ones(spark, stored):
+    first = stored.overwrite(frame(spark, ("a", "2014-01-05", 1), ("b", "2014-02-05", 1)))
+    second = stored.upsert(frame(spark, ("c", "2014-01-06", 2), ("d", "2014-03-01", 2)))
+    january, february, march = (f"order_year_month=2014-0{m}" for m in (1, 2, 3))
+    assert stored._loads(second) == {january: (first, second), february: (first,), march: (second,)}
+    assert sorted(r[0] for r in stored.changed(first).select("sales_line_id").collect()) == ["c", "d"]
+    assert not any(f"load={first}/" in path for path in stored.changed(first).inputFiles())
+    # A replaced row: its partition is rewritten, from both loads.
+    third = stored.upsert(frame(spark, ("a", "2014-01-05", 3)))
+    assert stored._loads(third) == {january: (third,), february: (first,), march: (second,)}
+    assert [(k, v) for k, _, _, v in content(stored)] == [("a", 3), ("b", 1), ("c", 2), ("d", 2)]
+    assert [(r.sales_line_id, r.v) for r in stored.changed(second).collect()] == [("a", 3)]
+    assert sorted(r.sales_line_id for r in stored.read(second).collect()) == ["a", "b", "c", "d"]
+
+
+def test_a_partition_of_many_loads_is_rewritten(spark, stored, monkeypatch):
+    monkeypatch.setattr(versioned, "_MOST_LOADS", 2)
+    for k in "abc":
+        version = stored.upsert(frame(spark, (k, "2014-01-05", 1)))
+    assert stored._loads(version) == {"order_year_month=2014-01": (version,)}
+    assert [k for k, *_ in content(stored)] == ["a", "b", "c"]
+
+
+def test_a_type_changes_beside_loads_of_the_old_type(spark, stored):
+    stored.overwrite(typed(spark, "v int", ("a", "2014-01", 1)))
+    stored.upsert(typed(spark, "v string", ("b", "2014-01", "x")))
+    stored.upsert(typed(spark, "v string, w int", ("c", "2014-01", "y", 2)))
+    assert kept(stored, "v", "w") == [("a", "1", None), ("b", "x", None), ("c", "y", 2)]
+
+
+def test_a_window_becomes_its_rows_over_several_loads(spark, stored):
+    stored.overwrite(frame(spark, ("a", "2014-01-05", 1), ("b", "2014-01-20", 1)))
+    stored.upsert(frame(spark, ("c", "2014-01-06", 1), ("d", "2014-01-21", 1), ("e", "2014-03-01", 1)))
+    fact.replace_recent(stored, frame(spark, ("b", "2014-01-20", 2), ("f", "2014-02-01", 2)), dt.date(2014, 1, 15))
+    assert [(k, v) for k, _, _, v in content(stored)] == [("a", 1), ("b", 2), ("c", 1), ("f", 2)]
+
+
+def test_updates_are_derived_once(spark, stored):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    stored.overwrite(frame(spark, ("a", "2014-01-05", 1), ("b", "2014-01-20", 1)))
+    stored.upsert(frame(spark, ("a", "2014-02-05", 2), ("c", "2014-02-06", 2)).mapInArrow(count, SCHEMA))
+    assert seen.value == 2 and [(k, v) for k, _, _, v in content(stored)] == [("a", 2), ("b", 1), ("c", 2)]
