@@ -2,6 +2,8 @@
 
 import datetime as dt
 import os
+import threading
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -208,3 +210,19 @@ def test_scd2_dimension_labels(spark):
     categories = spark.createDataFrame([("CO_RF", "Components", "Road Frames", True)], "category_id string, category_name string, subcategory_name string, requires_maintenance boolean")
     got = dimensions.dim_products(versions, categories).collect()
     assert [(r.product_key, r.product_line_category, r.category_label, r.has_product_cost) for r in got] == [("BK-1", "Road / Components", "CO_RF | Components", False)]
+
+
+def test_independent_steps_run_side_by_side():
+    met = threading.Barrier(3, timeout=30)
+    assert warehouse._together(*[lambda n=n: (met.wait() >= 0, n) for n in range(3)]) == [(True, n) for n in range(3)]
+
+
+def test_a_failing_step_stops_the_job_when_the_others_have_ended():
+    ended = []
+
+    def fail():
+        raise ValueError("first")
+
+    with pytest.raises(ValueError, match="first"):
+        warehouse._together(fail, lambda: ended.append(time.sleep(0.2)))
+    assert ended == [None]
