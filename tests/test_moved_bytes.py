@@ -139,3 +139,27 @@ def test_stored_fact_has_no_derived_customer_keys(spark, rows):
     scan = [x for x in plan(stored).splitlines() if "FileScan" in x]
     assert len(scan) == 1 and "customer_key" in scan[0] and "customer_sk" not in scan[0]
     assert stored.columns == whole.columns and rows(stored) == rows(whole)
+
+
+def test_fact_is_sorted_before_its_columns_are_derived(spark, tmp_path):
+    placed = warehouse.fact_lines(*lines(spark), by_month=True, whole=True)
+    above, below = plan(placed).split("Sort [_month", 1)
+    assert "md5" in above and "customer_sk" not in below and "days_to_ship" not in below
+    table = fact.fact_table(spark, str(tmp_path / "fact"), repeats=True)
+    table.overwrite(placed, fact.FACT_SORT, placed=True)
+    for file in (tmp_path / "fact/data/load=1").glob("*=*/*.parquet"):
+        found = [(r.order_date, r.sales_line_id) for r in spark.read.parquet(str(file)).collect()]
+        assert found == sorted(found) and len(found) > 1
+
+
+def test_window_of_the_fact_is_placed_like_a_whole_one(spark, rows, tmp_path):
+    clean, people, items = lines(spark)
+    placed = warehouse.fact_lines(clean, people, items, by_month=True, whole=True)
+    table = fact.fact_table(spark, str(tmp_path / "fact"), repeats=True)
+    table.overwrite(placed.withColumn("quantity", F.col("quantity") + 1), placed=True)
+    fact.replace_recent(table, placed.filter("product_key != 'P1'"), "2014-02-05", placed=True)
+    got = rows(table.read(), "order_date", "product_key", "quantity")
+    # A line has quantity 1, one that was there before 2.
+    want = [(r[0], r[1], 2) for r in rows(placed, "order_date", "product_key") if f"{r[0]}" < "2014-02-05"]
+    want += [(r[0], r[1], 1) for r in rows(placed, "order_date", "product_key") if f"{r[0]}" >= "2014-02-05" and r[1] != "P1"]
+    assert got == sorted(want, key=lambda t: tuple((v is None, str(v)) for v in t)) and 0 < len(want) < 40
